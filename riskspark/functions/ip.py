@@ -1,8 +1,7 @@
 """IP addresses as text: check, truncate to the network, turn into a prefix key.
 
-IPv6 is handled with Columns too: an address is expanded to its eight groups,
-and since the kept prefix covers at most the first four, the zero run that text
-form compresses is always the trailing one.
+IPv6 stays in Columns too. The kept prefix covers at most the first four of the
+eight groups, so the zero run that the text form compresses is the trailing one.
 """
 
 from __future__ import annotations
@@ -10,11 +9,13 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_OCTET = r"(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
-V4_PATTERN = rf"^{_OCTET}(\.{_OCTET}){{3}}$"
-_V6_CHARS = r"^[0-9A-Fa-f:]+$"
-_V6_GROUP = r"^[0-9A-Fa-f]{1,4}$"
-_V4_TAIL = rf":{_OCTET}(\.{_OCTET}){{3}}$"
+_OCTET = r"(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])"
+_DOTTED = rf"{_OCTET}(?:\.{_OCTET}){{3}}"
+_GROUP = r"[0-9A-Fa-f]{1,4}"
+_SIDE = rf"(?:(?:{_GROUP}:)*{_GROUP})?"
+V4_PATTERN = rf"^{_DOTTED}$"
+# Eight groups, or one '::' that stands for at least one group.
+V6_PATTERN = rf"^(?:(?:{_GROUP}:){{7}}{_GROUP}|(?!(?::*{_GROUP}(?![0-9A-Fa-f])){{8}}){_SIDE}::{_SIDE})$"
 
 
 def is_v4(ip: Column) -> Column:
@@ -23,43 +24,21 @@ def is_v4(ip: Column) -> Column:
 
 def _hex_form(ip: Column) -> Column:
     """The address with a dotted tail replaced by two groups; only its prefix is used later."""
-    return F.regexp_replace(ip, _V4_TAIL, ":0:0")
-
-
-def _groups(text: Column) -> Column:
-    return F.filter(F.split(text, ":"), lambda g: g != "")
+    return F.regexp_replace(ip, rf"(?<=:){_DOTTED}$", "0:0")
 
 
 def is_v6(ip: Column) -> Column:
-    text = _hex_form(ip)
-    groups = _groups(text)
-    runs = F.size(F.split(text, "::", -1)) - 1
-    clean_ends = (
-        ~text.rlike(":::")
-        & (~text.startswith(":") | text.startswith("::"))
-        & (~text.endswith(":") | text.endswith("::"))
-    )
-    counts = ((runs == 0) & (F.size(groups) == 8)) | ((runs == 1) & (F.size(groups) <= 7))
-    return (
-        text.contains(":")
-        & text.rlike(_V6_CHARS)
-        & clean_ends
-        & counts
-        & F.forall(groups, lambda g: g.rlike(_V6_GROUP))
-    )
+    return _hex_form(ip).rlike(V6_PATTERN)
 
 
 def is_multicast(ip: Column) -> Column:
-    first = F.split(ip, r"\.").getItem(0).try_cast("int")
-    return F.when(is_v4(ip), first.between(224, 239)).otherwise(ip.rlike(r"^[fF]{2}[0-9A-Fa-f]{2}:"))
+    return ip.rlike(r"^(?:(?:22[4-9]|23[0-9])\.|[fF]{2}[0-9A-Fa-f]{2}:)")
 
 
 def v4_number(ip: Column) -> Column:
     """The address as a number; null when it is not IPv4."""
-    parts = F.split(ip, r"\.")
-    number = F.lit(0).cast("bigint")
-    for position in range(4):
-        number = number * 256 + parts.getItem(position).try_cast("bigint")
+    octets = F.split(ip, r"\.")
+    number = F.aggregate(octets, F.lit(0).cast("bigint"), lambda n, octet: n * 256 + octet.try_cast("bigint"))
     return F.when(is_v4(ip), number)
 
 
@@ -68,54 +47,52 @@ def v4_text(number: Column) -> Column:
     return F.concat_ws(".", *[octet.cast("string") for octet in octets])
 
 
+def _groups(text: Column) -> Column:
+    return F.filter(F.split(text, ":"), lambda g: g != "")
+
+
 def _first_groups(ip: Column) -> Column:
-    """The first four groups of an IPv6 address, padded to four hex digits each."""
+    """The first four groups of an IPv6 address, zero run written out."""
     text = _hex_form(ip)
-    sides = F.split(text, "::", 2)
-    left, right = _groups(sides.getItem(0)), _groups(F.coalesce(F.get(sides, F.lit(1)), F.lit("")))
-    gap = F.greatest(F.lit(0), 8 - F.size(left) - F.size(right))
-    full = F.concat(left, F.array_repeat(F.lit("0"), gap), right)
-    return F.transform(F.slice(full, 1, 4), lambda g: F.lpad(F.lower(g), 4, "0"))
+    zeros = F.concat(F.lit(":"), F.repeat(F.lit("0:"), F.greatest(F.lit(0), 8 - F.size(_groups(text)))))
+    return F.slice(_groups(F.regexp_replace(text, F.lit("::"), zeros)), 1, 4)
 
 
 def v6_network64(ip: Column) -> Column:
     """Text of the /64 network of an IPv6 address."""
-    short = F.transform(
-        _first_groups(ip), lambda g: F.regexp_replace(F.regexp_replace(g, "^0+", ""), "^$", "0")
-    )
+    short = F.transform(_first_groups(ip), lambda g: F.regexp_replace(F.lower(g), "^0+(?=.)", ""))
     head = F.regexp_replace(F.array_join(short, ":"), "(^|:)0(:0)*$", "")
     return F.when(is_v6(ip), F.concat(head, F.lit("::")))
 
 
 def truncate_ip(ip: Column, v4_prefix: int = 24) -> Column:
     """Network address of an IP (IPv4 by `v4_prefix`, IPv6 by 64); null if invalid or multicast."""
-    mask = ((1 << v4_prefix) - 1) << (32 - v4_prefix)
-    network = (
-        F.when(is_v4(ip), v4_text(v4_number(ip).bitwiseAND(F.lit(mask).cast("bigint"))))
-        .when(is_v6(ip), v6_network64(ip))
-    )
-    return F.when(~F.coalesce(is_multicast(ip), F.lit(False)), network)
+    if v4_prefix == 24:
+        v4 = F.regexp_replace(ip, r"[0-9]+$", "0")
+    else:
+        mask = ((1 << v4_prefix) - 1) << (32 - v4_prefix)
+        v4 = v4_text(v4_number(ip).bitwiseAND(F.lit(mask).cast("bigint")))
+    return F.when(is_multicast(ip), None).when(is_v4(ip), v4).otherwise(v6_network64(ip))
 
 
 def ip_error(ip: Column) -> Column:
     """Null for a storable address, otherwise why it is not."""
-    return (
-        F.when(~F.coalesce(is_v4(ip) | is_v6(ip), F.lit(False)), "MALFORMED")
-        .when(is_multicast(ip), "MULTICAST")
-    )
+    valid = F.coalesce(is_v4(ip) | is_v6(ip), F.lit(False))
+    return F.when(~valid, "MALFORMED").when(is_multicast(ip), "MULTICAST")
 
 
 def representative_host(subnet: Column) -> Column:
     """'203.0.113.0/24' or '203.0.113.0' to '203.0.113.1', the host that stands for the subnet."""
     host = F.split(subnet, "/").getItem(0)
-    return F.when(host.rlike(r"^[^.]*\.[^.]*\.[^.]*\.0$"), F.regexp_replace(host, r"0$", "1")).otherwise(host)
+    return F.regexp_replace(host, r"^([^.]*\.[^.]*\.[^.]*\.)0$", "$11")
 
 
 def address_bits(ip: Column) -> Column:
     """'4' or '6' followed by the address bits: all 32 of IPv4, the first 64 of IPv6."""
     v4 = F.concat(F.lit("4"), F.lpad(F.bin(v4_number(ip)), 32, "0"))
-    v6_bits = F.transform(_first_groups(ip), lambda g: F.lpad(F.conv(g, 16, 2), 16, "0"))
-    return F.when(is_v4(ip), v4).when(is_v6(ip), F.concat(F.lit("6"), F.array_join(v6_bits, "")))
+    groups = F.transform(_first_groups(ip), lambda g: F.lpad(F.conv(g, 16, 2), 16, "0"))
+    v6 = F.when(is_v6(ip), F.concat(F.lit("6"), F.array_join(groups, "")))
+    return F.coalesce(v4, v6)
 
 
 def prefix_key(bits: Column, prefix_len: Column) -> Column:

@@ -10,7 +10,7 @@ from riskspark.functions import ip as ipf
 # What the audit looks for.
 PAN_PATTERN = r"\b\d{4}[\s-]?\d{4}[\s-]?\d{4}[\s-]?\d{4}\b"
 SENSITIVE_NAMES = ("card_number", "full_ip", "ssn")
-PRIVATE_V4 = (("10.0.0.0", 8), ("172.16.0.0", 12), ("192.168.0.0", 16), ("127.0.0.1", 32))
+PRIVATE_V4 = r"^(10\.|172\.(1[6-9]|2[0-9]|3[01])\.|192\.168\.|127\.0\.0\.1$)"
 # End of fixed values.
 V4_CANDIDATE = r"\b[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}(?:/[0-9]{1,2})?\b"
 V6_CANDIDATE = r"(?:[0-9A-Fa-f]{0,4}:){2,7}[0-9A-Fa-f]{0,4}"
@@ -21,27 +21,11 @@ def has_pan(text: Column) -> Column:
     return text.rlike(PAN_PATTERN)
 
 
-def _network(address: str) -> int:
-    value = 0
-    for octet in address.split("."):
-        value = value * 256 + int(octet)
-    return value
-
-
-def _private(number: Column) -> Column:
-    hit = F.lit(False)
-    for address, prefix in PRIVATE_V4:
-        size = 1 << (32 - prefix)
-        low = _network(address)
-        hit = hit | number.between(F.lit(low).cast("bigint"), F.lit(low + size - 1).cast("bigint"))
-    return hit
-
-
 def _exposed_v4(candidate: Column) -> Column:
     parts = F.split(candidate, "/")
     host, prefix = parts.getItem(0), F.get(parts, F.lit(1)).try_cast("int")
     network_notation = F.coalesce(prefix <= WIDEST_EXEMPT_PREFIX, F.lit(False))
-    return ipf.is_v4(host) & ~network_notation & ~F.coalesce(_private(ipf.v4_number(host)), F.lit(False))
+    return ipf.is_v4(host) & ~network_notation & ~host.rlike(PRIVATE_V4)
 
 
 def exposed_v4(text: Column) -> Column:

@@ -87,13 +87,13 @@ resent AS (
 GEO = """
 geo AS (
   SELECT 'C' || n_nationkey AS geo_country, n_name || '-wide' AS geo_city, 'RESIDENTIAL' AS geo_network_class,
-         0.9 AS geo_confidence, 8 AS len, CAST(o AS BIGINT) * 16777216 AS lo,
+         0.9::DOUBLE AS geo_confidence, 8 AS len, CAST(o AS BIGINT) * 16777216 AS lo,
          CAST(o AS BIGINT) * 16777216 + 16777215 AS hi
   FROM nation, range(1, 201) AS r(o) WHERE (o - 1) % 25 = n_nationkey
   UNION ALL
   SELECT 'C' || n_nationkey, n_name || suffix, class, conf, len, base + plus, base + plus + size - 1
   FROM (SELECT *, CAST((n_nationkey + 7) % 25 + 1 AS BIGINT) * 16777216 + 5 * 65536 AS base FROM nation),
-       (VALUES ('-city', 'HOSTING', 0.5, 16, 0, 65536), ('-street', 'MOBILE', 0.75, 24, 20 * 256, 256),
+       (VALUES ('-city', 'HOSTING', 0.5::DOUBLE, 16, 0, 65536), ('-street', 'MOBILE', 0.75, 24, 20 * 256, 256),
                ('-house', 'BUSINESS', 0.25, 28, 30 * 256, 16)) AS v(suffix, class, conf, len, plus, size)),
 subnets AS (SELECT DISTINCT caller_ip_subnet, CAST(split_part(caller_ip_subnet, '.', 1) AS BIGINT) * 16777216
   + CAST(split_part(caller_ip_subnet, '.', 2) AS BIGINT) * 65536
