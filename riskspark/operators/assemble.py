@@ -54,9 +54,14 @@ def enrich(events: DataFrame, ranges: DataFrame, enriched_at_ms: Column, known_f
 
 
 def add_features(events: DataFrame, ranges: DataFrame, known_fraud: DataFrame | None = None) -> DataFrame:
-    """Velocity per account, then geo by subnet, then history per device."""
-    located = geo_enrich(velocity_features(events), ranges)
-    return device_features(located, known_fraud=known_fraud)
+    """Geo by subnet, velocity per account, history per device.
+
+    Hot keys are worked out on the inputs of these steps, not on their outputs,
+    so no step is computed twice.
+    """
+    located = geo_enrich(events, ranges)
+    moving = velocity_features(located, history=events)
+    return device_features(moving, history=located, known_fraud=known_fraud)
 
 
 def as_record(assembled: DataFrame) -> DataFrame:

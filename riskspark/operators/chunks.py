@@ -1,10 +1,12 @@
-"""Running totals per key that stay parallel when one key holds most of the rows.
-
-A window over a whole key would put all rows of a hot account into one task.
-Here the rows of a key are cut into short time chunks. Each (key, chunk) is
-reduced to one row before it is shuffled; totals of earlier chunks are carried
-over on those reduced rows and joined back, and only the running part inside a
-chunk looks at single rows.
+"""Ordered work per key that stays parallel when one key holds most of the rows.
+
+A window over a key puts all its rows into one task. That is fine for nearly all
+keys and needs a single shuffle. Only keys with more than `HOT_ROWS` rows are
+cut into short time chunks. Their chunks are reduced to one row each before any
+shuffle, history is carried from chunk to chunk on those reduced rows, and the
+carried values are joined back on (key, chunk), which is how the rows are
+partitioned anyway. With no hot key the carried side is empty and adaptive
+execution drops the join.
 """
 
 from __future__ import annotations
@@ -17,36 +19,51 @@ from pyspark.sql import functions as F
 from riskspark.functions.clock import slot
 
 CHUNK_MS = 10_000
+HOT_ROWS = 1_000_000
 CHUNK = "_chunk"
+WHOLE_KEY = -1  # chunk number of keys that are not cut
 NULL_KEY_SPREAD = 4096
 
 
-def with_chunk(df: DataFrame, key: str, time_ms: Column, spread_by: Sequence[str], chunk_ms: int) -> DataFrame:
-    """Adds the chunk number; rows without a key are spread by hash, they never meet anyway."""
+def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Keys with more than `hot_rows` rows; counted on the map side, reading only the key."""
+    counted = df.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_hot")).agg(F.count(F.lit(1)).alias("_n"))
+    return counted.where(F.col("_n") > hot_rows).select("_hot")
+
+
+def with_chunk(
+    df: DataFrame, key: str, time_ms: str, spread_by: Sequence[str], hot: DataFrame, chunk_ms: int = CHUNK_MS
+) -> DataFrame:
+    """Adds the chunk number. Rows without a key are spread by hash, they never meet anyway."""
+    # At most (rows of df / hot_rows) keys are hot, a millionth of the table.
+    flagged = df.join(F.broadcast(hot), F.col(key) == F.col("_hot"), "left")
     spread = F.pmod(F.xxhash64(*spread_by), F.lit(NULL_KEY_SPREAD))
-    return df.withColumn(CHUNK, F.when(F.col(key).isNull(), spread).otherwise(slot(time_ms, chunk_ms)))
+    chunk = (
+        F.when(F.col(key).isNull(), spread)
+        .when(F.col("_hot").isNotNull(), slot(F.col(time_ms), chunk_ms))
+        .otherwise(F.lit(WHOLE_KEY).cast("bigint"))
+    )
+    return flagged.withColumn(CHUNK, chunk).drop("_hot")
+
 
+def hot_chunks(history: DataFrame, key: str, time_ms: str, hot: DataFrame, chunk_ms: int = CHUNK_MS) -> DataFrame:
+    """The rows of hot keys with their chunk number, ready to be reduced per chunk."""
+    rows = history.join(F.broadcast(hot), F.col(key) == F.col("_hot")).drop("_hot")
+    return rows.withColumn(CHUNK, slot(F.col(time_ms), chunk_ms))
 
-def chunk_window(key: str, *order: Column) -> Window:
+
+def chunk_window(key: str, *order: str) -> Window:
     """Rows of one chunk in order, from its first row to the current one."""
-    return (
-        Window.partitionBy(key, CHUNK)
-        .orderBy(*order)
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
+    ordered = Window.partitionBy(key, CHUNK).orderBy(*order)
+    return ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
 
-def earlier_chunks(key: str, *order: Column) -> Window:
+def earlier_chunks(key: str, *order: str) -> Window:
     """All chunks of a key before the current one."""
-    return (
-        Window.partitionBy(key)
-        .orderBy(*order)
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
+    return Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
 
 
 def join_carry(rows: DataFrame, carry: DataFrame, key: str) -> DataFrame:
-    """Chunk totals back on the rows; both sides are already partitioned alike."""
     return rows.join(carry, [key, CHUNK], "left")
 
 
@@ -56,33 +73,29 @@ def running_totals(
     time_ms: str,
     order: Sequence[str],
     totals: dict[str, Column],
+    hot_rows: int = HOT_ROWS,
     chunk_ms: int = CHUNK_MS,
 ) -> DataFrame:
     """Adds, per output name, the running sum of a column over the rows of the key so far.
 
     `order` breaks ties of equal times. The columns of `totals` must not be null.
     """
-    rows = with_chunk(df, key, F.col(time_ms), [time_ms, *order], chunk_ms)
-    rows = rows.select("*", *[value.alias(f"_v_{name}") for name, value in totals.items()])
+    hot = hot_keys(df, key, hot_rows)
+    valued = df.select("*", *[value.alias(f"_v_{name}") for name, value in totals.items()])
     reduced = (
-        rows.where(F.col(key).isNotNull())
+        hot_chunks(valued, key, time_ms, hot, chunk_ms)
         .groupBy(key, CHUNK)
         .agg(*[F.sum(f"_v_{name}").alias(f"_t_{name}") for name in totals])
     )
-    before = earlier_chunks(key, F.col(CHUNK))
-    carry = reduced.select(
-        key, CHUNK, *[F.sum(f"_t_{name}").over(before).alias(f"_b_{name}") for name in totals]
-    )
-    inside = chunk_window(key, F.col(time_ms), *[F.col(c) for c in order])
+    before = earlier_chunks(key, CHUNK)
+    carry = reduced.select(key, CHUNK, *[F.sum(f"_t_{n}").over(before).alias(f"_b_{n}") for n in totals])
+    rows = with_chunk(valued, key, time_ms, [time_ms, *order], hot, chunk_ms)
+    inside = chunk_window(key, time_ms, *order)
     running = rows.select("*", *[F.sum(f"_v_{name}").over(inside).alias(f"_r_{name}") for name in totals])
     joined = join_carry(running, carry, key)
-    return joined.select(
-        *df.columns,
-        *[
-            F.when(
-                F.col(key).isNotNull(),
-                F.col(f"_r_{name}") + F.coalesce(F.col(f"_b_{name}"), F.lit(0)),
-            ).alias(name)
-            for name in totals
-        ],
-    )
+    known = F.col(key).isNotNull()
+    outputs = [
+        F.when(known, F.col(f"_r_{name}") + F.coalesce(F.col(f"_b_{name}"), F.lit(0))).alias(name)
+        for name in totals
+    ]
+    return joined.select(*df.columns, *outputs)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -98,66 +98,92 @@ def lookup(transactions: DataFrame, snap: DataFrame, mode: str = "fill") -> Data
     )
 
 
-def as_of(
+def as_of_views(
     entities: DataFrame,
-    view: DataFrame,
-    columns: list[str],
-    ttl_ms: int,
+    views: dict[str, tuple[DataFrame, list[str], int]],
     key: str = KEY,
     entity_ms: str = "event_ms",
     feature_ms: str = "feature_ms",
     tiebreak: str = "transaction_id",
+    hot_rows: int = chunks.HOT_ROWS,
     chunk_ms: int = HOUR_MS,
 ) -> DataFrame:
-    """Adds the newest feature values not later than the entity row and not older than the TTL.
+    """Adds, per view, the newest values not later than the entity row and not older than its TTL.
 
-    Entities and features are merged into one ordered sequence per key and time
-    chunk; the last value of earlier chunks is carried over on one reduced row
-    per chunk. No row pairs are formed and no task holds more than a chunk.
-    A feature at the very instant of the entity counts.
+    `views` maps a name to (rows, value columns, TTL in ms). Adds `<name>_at_ms`
+    and the value columns of each view.
+
+    Entities and the rows of all views are merged into one ordered sequence per
+    key, so no row pairs are formed and everything takes one shuffle. Hot keys
+    are cut into chunks, with the last values of earlier chunks carried over on
+    one reduced row per chunk. A feature at the very instant of the entity counts.
     """
-    value = F.struct(F.col(feature_ms).alias("_at"), *[F.col(c) for c in columns])
-    features = view.where(F.col(key).isNotNull() & F.col(feature_ms).isNotNull()).select(
-        F.col(key).alias("_key"), F.col(feature_ms).alias("_ms"), F.col(tiebreak).alias("_tie"), value.alias("_value")
-    )
-    features = chunks.with_chunk(features, "_key", F.col("_ms"), ["_tie"], chunk_ms)
     rows = entities.select(
         F.col(key).alias("_key"), F.col(entity_ms).alias("_ms"), F.struct(*entities.columns).alias("_row")
     )
-    rows = chunks.with_chunk(rows, "_key", F.col("_ms"), ["_ms"], chunk_ms)
-
-    newest = F.max_by("_value", F.struct("_ms", "_tie")).alias("_newest")
-    reduced = features.groupBy("_key", chunks.CHUNK).agg(newest)
-    wanted = rows.where(F.col("_key").isNotNull()).select("_key", chunks.CHUNK).distinct()
-    steps = reduced.unionByName(wanted, allowMissingColumns=True)
-    steps = steps.groupBy("_key", chunks.CHUNK).agg(F.first("_newest", ignorenulls=True).alias("_newest"))
-    before = chunks.earlier_chunks("_key", F.col(chunks.CHUNK))
-    carry = steps.select("_key", chunks.CHUNK, F.last("_newest", ignorenulls=True).over(before).alias("_carried"))
-
+    features = None
+    for name, (view, columns, _) in views.items():
+        value = F.struct(F.col(feature_ms).alias("_at"), *[F.col(c) for c in columns])
+        part = view.where(F.col(key).isNotNull() & F.col(feature_ms).isNotNull()).select(
+            F.col(key).alias("_key"),
+            F.col(feature_ms).alias("_ms"),
+            F.col(tiebreak).alias("_tie"),
+            value.alias(f"_value_{name}"),
+        )
+        features = part if features is None else features.unionByName(part, allowMissingColumns=True)
     merged = features.withColumn("_is_row", F.lit(False)).unionByName(
         rows.withColumn("_is_row", F.lit(True)), allowMissingColumns=True
     )
-    inside = chunks.chunk_window("_key", F.col("_ms"), F.col("_is_row"), F.col("_tie"))
-    seen = merged.select("*", F.last("_value", ignorenulls=True).over(inside).alias("_inside"))
-    matched = chunks.join_carry(seen.where(F.col("_is_row")), carry, "_key")
-    found = matched.select("_row", "_ms", F.coalesce("_inside", "_carried").alias("_found"), "_key")
-    valid = F.col("_key").isNotNull() & (F.col("_ms") - F.col("_found._at") <= F.lit(ttl_ms))
-    return found.select(
-        "_row.*",
-        F.when(valid, F.col("_found._at")).alias("feature_at_ms"),
-        *[F.when(valid, F.col(f"_found.{c}")).alias(c) for c in columns],
-    )
+    hot = chunks.hot_keys(features.select("_key").unionByName(rows.select("_key")), "_key", hot_rows)
+    narrow = features.unionByName(rows.select("_key", "_ms"), allowMissingColumns=True)
 
+    def newest(name: str):
+        order = F.when(F.col(f"_value_{name}").isNotNull(), F.struct("_ms", "_tie"))
+        return F.max_by(f"_value_{name}", order).alias(f"_newest_{name}")
 
-def point_in_time(entities: DataFrame, views: dict[str, DataFrame]) -> DataFrame:
-    """All three feature tables as of each entity row, each within its own time to live."""
-    result = entities
-    for name, view in views.items():
-        timed = view.withColumn("feature_ms", F.unix_millis(TIME))
-        ttl = FEATURE_TTL_HOURS[name] * HOUR_MS
-        result = as_of(result, timed, FEATURE_COLUMNS[name].names, ttl)
-        result = result.withColumnRenamed("feature_at_ms", f"{name}_at_ms")
-    return result
+    steps = (
+        chunks.hot_chunks(narrow, "_key", "_ms", hot, chunk_ms)
+        .groupBy("_key", chunks.CHUNK)
+        .agg(*[newest(name) for name in views])
+    )
+    before = chunks.earlier_chunks("_key", chunks.CHUNK)
+    carried = [F.last(f"_newest_{n}", ignorenulls=True).over(before).alias(f"_carried_{n}") for n in views]
+    carry = steps.select("_key", chunks.CHUNK, *carried)
+
+    chunked = chunks.with_chunk(merged, "_key", "_ms", ["_ms"], hot, chunk_ms)
+    inside = chunks.chunk_window("_key", "_ms", "_is_row", "_tie")
+    seen = chunked.select(
+        "*", *[F.last(f"_value_{n}", ignorenulls=True).over(inside).alias(f"_inside_{n}") for n in views]
+    )
+    matched = chunks.join_carry(seen.where(F.col("_is_row")), carry, "_key")
+    found = matched.select(
+        "_row", "_ms", "_key", *[F.coalesce(f"_inside_{n}", f"_carried_{n}").alias(f"_found_{n}") for n in views]
+    )
+    outputs = []
+    for name, (_, columns, ttl_ms) in views.items():
+        at = F.col(f"_found_{name}._at")
+        valid = F.col("_key").isNotNull() & (F.col("_ms") - at <= F.lit(ttl_ms))
+        outputs.append(F.when(valid, at).alias(f"{name}_at_ms"))
+        outputs += [F.when(valid, F.col(f"_found_{name}.{c}")).alias(c) for c in columns]
+    return found.select("_row.*", *outputs)
+
+
+def as_of(entities: DataFrame, view: DataFrame, columns: list[str], ttl_ms: int, **options) -> DataFrame:
+    """`as_of_views` for a single view; its time is `feature_at_ms`."""
+    return as_of_views(entities, {"feature": (view, columns, ttl_ms)}, **options)
+
+
+def point_in_time(entities: DataFrame, views: dict[str, DataFrame], **options) -> DataFrame:
+    """All feature tables as of each entity row, each within its own time to live."""
+    timed = {
+        name: (
+            view.withColumn("feature_ms", F.unix_millis(TIME)),
+            FEATURE_COLUMNS[name].names,
+            FEATURE_TTL_HOURS[name] * HOUR_MS,
+        )
+        for name, view in views.items()
+    }
+    return as_of_views(entities, timed, **options)
 
 
 def freshness(view: DataFrame, batch_ms: int, limit_ms: int = 30_000) -> DataFrame:

@@ -6,11 +6,12 @@ from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskspark.functions import severity as sev
 from riskspark.functions.coerce import positive_or_false
+from riskspark.operators import chunks
 
 SHADOW_SUFFIX = ":shadow"
 
@@ -52,7 +53,7 @@ def _decimal(value) -> Column:
     return F.lit(Decimal(str(value)))
 
 
-NEVER: tuple[Column, list[str]] = (None, [])
+NEVER = (None, [])  # no condition, reads nothing
 
 
 @family("velocity")
@@ -154,30 +155,33 @@ def evaluate(df: DataFrame, rules: Iterable[Rule]) -> DataFrame:
 
 
 def cross_border_count(
-    df: DataFrame, key: str, time_ms: str, country: str, tiebreak: str, window_ms: int
+    df: DataFrame,
+    key: str,
+    time_ms: str,
+    country: str,
+    tiebreak: str,
+    window_ms: int,
+    hot_rows: int = chunks.HOT_ROWS,
 ) -> DataFrame:
     """Adds the number of country changes of a key within the last `window_ms`.
 
     The catalogue holds a rule that wants this number, but no evaluation reads
     it, so the rule never fires; the column is for callers who want the intent.
+    A change enters the count at its row and leaves it `window_ms` later.
     """
-    from pyspark.sql import Window
-
-    from riskspark.operators import chunks
-
-    history = chunks.with_chunk(df, key, F.col(time_ms), [tiebreak], chunks.CHUNK_MS)
-    place = F.struct(time_ms, tiebreak)
+    hot = chunks.hot_keys(df, key, hot_rows)
+    order = F.when(F.col(country).isNotNull(), F.struct(time_ms, tiebreak))
     last = (
-        history.where(F.col(key).isNotNull() & F.col(country).isNotNull())
+        chunks.hot_chunks(df, key, time_ms, hot)
         .groupBy(key, chunks.CHUNK)
-        .agg(F.max_by(country, place).alias("_c"))
-    )
-    carry = last.select(
-        key, chunks.CHUNK, F.lag("_c").over(Window.partitionBy(key).orderBy(chunks.CHUNK)).alias("_prev")
+        .agg(F.max_by(F.col(country), order).alias("_c"))
     )
-    inside = Window.partitionBy(key, chunks.CHUNK).orderBy(time_ms, tiebreak)
-    seen = F.last(country, ignorenulls=True).over(inside.rowsBetween(Window.unboundedPreceding, -1))
-    linked = chunks.join_carry(history.select("*", seen.alias("_seen")), carry, key)
+    before = chunks.earlier_chunks(key, chunks.CHUNK)
+    carry = last.select(key, chunks.CHUNK, F.last("_c", ignorenulls=True).over(before).alias("_prev"))
+    rows = chunks.with_chunk(df, key, time_ms, [tiebreak], hot)
+    earlier = Window.partitionBy(key, chunks.CHUNK).orderBy(time_ms, tiebreak).rowsBetween(Window.unboundedPreceding, -1)
+    seen = rows.select("*", F.last(country, ignorenulls=True).over(earlier).alias("_seen"))
+    linked = chunks.join_carry(seen, carry, key)
     changed = positive_or_false(F.coalesce("_seen", "_prev") != F.col(country))
     marked = linked.select(*df.columns, changed.cast("bigint").alias("_change"))
     enter = F.struct(F.lit(1).alias("entry"), F.col(time_ms).alias("at"))
@@ -186,5 +190,5 @@ def cross_border_count(
         *df.columns, F.col("_move.entry").alias("_entry"), F.col("_move.at").alias("_at"), "_change"
     )
     delta = F.when(F.col("_entry") == 1, F.col("_change")).otherwise(-F.col("_change"))
-    totals = chunks.running_totals(moves, key, "_at", ["_entry", tiebreak], {"cross_border_count": delta})
+    totals = chunks.running_totals(moves, key, "_at", ["_entry", tiebreak], {"cross_border_count": delta}, hot_rows)
     return totals.where(F.col("_entry") == 1).select(*df.columns, "cross_border_count")

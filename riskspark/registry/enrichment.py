@@ -20,12 +20,22 @@ VELOCITY_OUT = ", ".join(
 )
 
 
-@register("velocity_features", with_ctes(TX, velocity_cte("tx")) + f"SELECT transaction_id, {VELOCITY_OUT} FROM vel")
+VELOCITY_SQL = with_ctes(TX, velocity_cte("tx")) + f"SELECT transaction_id, {VELOCITY_OUT} FROM vel"
+
+
+@register("velocity_features", VELOCITY_SQL)
 def velocity(spark, folder):
     tx = given.transactions(spark, folder).select("transaction_id", "account_id", "event_ms", "amount")
     return velocity_features(tx).select("transaction_id", *VELOCITY_COLUMNS)
 
 
+@register("velocity_hot_accounts", VELOCITY_SQL)
+def velocity_hot(spark, folder):
+    """The same with a limit that makes part of the accounts hot, so they are cut into chunks."""
+    tx = given.transactions(spark, folder).select("transaction_id", "account_id", "event_ms", "amount")
+    return velocity_features(tx, hot_rows=66).select("transaction_id", *VELOCITY_COLUMNS)
+
+
 def _exact_sql() -> str:
     parts = []
     for label, minutes in WINDOWS:
@@ -38,32 +48,47 @@ FROM tx a JOIN tx b ON a.account_id = b.account_id
 GROUP BY a.transaction_id"""
 
 
-@register("velocity_exact_range", _exact_sql())
+EXACT_SQL = _exact_sql()
+
+
+@register("velocity_exact_range", EXACT_SQL)
 def velocity_exact(spark, folder):
     tx = given.transactions(spark, folder).select("transaction_id", "account_id", "event_ms", "amount")
     return velocity_features(tx, exact=True).select("transaction_id", *VELOCITY_COLUMNS)
 
 
+@register("velocity_exact_hot", EXACT_SQL)
+def velocity_exact_hot(spark, folder):
+    tx = given.transactions(spark, folder).select("transaction_id", "account_id", "event_ms", "amount")
+    return velocity_features(tx, exact=True, hot_rows=330).select("transaction_id", *VELOCITY_COLUMNS)
+
+
 FINE_DEVICE = "fine AS (SELECT * REPLACE (api_key_id || '-' || (user_id % 50) AS api_key_id), 'C' || (k % 25) AS geo_country FROM tx)"
 DEVICE_OUT = ("t.transaction_id, device_first_seen, device_txn_count, device_known_fraud, prev_geo_country,"
               " prev_txn_time_ms, device_is_new, device_count_24h")
 
 
-@register(
-    "device_profile",
-    with_ctes(TX, FINE_DEVICE, device_cte("fine"))
-    + f"SELECT {DEVICE_OUT} FROM fine t LEFT JOIN dev USING (transaction_id)",
+DEVICE_SQL = with_ctes(TX, FINE_DEVICE, device_cte("fine")) + (
+    f"SELECT {DEVICE_OUT} FROM fine t LEFT JOIN dev USING (transaction_id)"
 )
-def device_profile(spark, folder):
-    tx = given.transactions(spark, folder)
-    user = F.regexp_extract("account_id", r"(\d+)", 1).cast("bigint")
-    fine = tx.select(
-        "transaction_id",
-        "event_ms",
-        F.concat("api_key_id", F.lit("-"), (user % 50).cast("string")).alias("api_key_id"),
-        F.concat(F.lit("C"), (F.col("k") % 25).cast("string")).alias("geo_country"),
+
+
+def fine_devices(spark, folder):
+    """So many devices that some of them go idle for more than a week."""
+    return given.transactions(spark, folder).selectExpr(
+        "transaction_id", "event_ms", "concat(api_key_id, '-', user_id % 50) AS api_key_id", "concat('C', k % 25) AS geo_country"
     )
-    result = device_features(fine)
+
+
+@register("device_profile", DEVICE_SQL)
+def device_profile(spark, folder):
+    result = device_features(fine_devices(spark, folder))
+    return result.select("transaction_id", *DEVICE_COLUMNS, "device_is_new", "device_count_24h")
+
+
+@register("device_profile_hot", DEVICE_SQL)
+def device_profile_hot(spark, folder):
+    result = device_features(fine_devices(spark, folder), hot_rows=9)
     return result.select("transaction_id", *DEVICE_COLUMNS, "device_is_new", "device_count_24h")
 
 
@@ -186,7 +211,7 @@ V6_TEXT = """CASE CAST(event_id % 5 AS INTEGER)
 )
 def ip_truncate(spark, folder):
     tx = given.transactions(spark, folder)
-    user = F.regexp_extract("account_id", r"(\d+)", 1).cast("bigint")
+    user = F.col("user_id")
     k, n = F.col("k"), F.col("event_id")
     text = lambda c: c.cast("string")
     v4 = F.concat_ws(".", text(user % 256), text(k), text(n % 300), F.lit("9"))

@@ -78,22 +78,29 @@ pairs AS (SELECT t.transaction_id, t.account_id, t.event_ms, f_ms, vel_count_1m,
   QUALIFY row_number() OVER (PARTITION BY t.transaction_id ORDER BY f_ms DESC NULLS LAST, f_id DESC) = 1)"""
 
 
-@register(
-    "feature_asof",
+AS_OF_SQL = (
     with_ctes(*BASE, FEATURES, AS_OF)
     + f"""SELECT transaction_id, CASE WHEN event_ms - f_ms <= {2 * DAY_MS} THEN f_ms END AS feature_at_ms,
   CASE WHEN event_ms - f_ms <= {2 * DAY_MS} THEN vel_count_1m END AS vel_count_1m,
-  {num(f'CASE WHEN event_ms - f_ms <= {2 * DAY_MS} THEN a END')} AS vel_amount_1m FROM pairs""",
+  {num(f'CASE WHEN event_ms - f_ms <= {2 * DAY_MS} THEN a END')} AS vel_amount_1m FROM pairs"""
 )
-def feature_asof(spark, folder):
+
+
+@register("feature_asof", AS_OF_SQL)
+def feature_asof(spark, folder, **options):
     """Features exist for some transactions only; those older than two days do not count."""
     view = given_views(spark, folder)["velocity"].where(F.right("transaction_id", F.lit(1)).isin("0", "3", "6"))
     timed = view.withColumn("feature_ms", F.unix_millis("event_timestamp"))
     tx = given.transactions(spark, folder).select("transaction_id", "account_id", "event_ms")
-    found = ft.as_of(tx, timed, ["vel_count_1m", "vel_amount_1m"], 48 * HOUR_MS)
+    found = ft.as_of(tx, timed, ["vel_count_1m", "vel_amount_1m"], 48 * HOUR_MS, **options)
     return found.select("transaction_id", "feature_at_ms", "vel_count_1m", "vel_amount_1m")
 
 
+@register("feature_asof_hot", AS_OF_SQL)
+def feature_asof_hot(spark, folder):
+    return feature_asof(spark, folder, hot_rows=85)
+
+
 @register(
     "order_asof_history",
     f"""WITH o AS (SELECT o_orderkey, o_custkey, epoch_us(o_orderdate) // 1000 AS ms, o_totalprice FROM orders)

@@ -31,7 +31,7 @@ def raw_payloads(spark, folder):
     n, text = F.col("event_id"), lambda c: c.cast("string")
     head = F.concat(F.lit("4"), F.lpad(text(n * 7919 % 1000000000), 14, "0"))
     last = text(n % 10)
-    user = F.regexp_extract("account_id", r"(\d+)", 1).cast("bigint")
+    user = F.col("user_id")
 
     def pick(modulus, cases, default):
         value = default

@@ -3,63 +3,49 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from riskspark.functions.clock import HOUR_MS, naive_millis
-from riskspark.functions.coerce import money
+EPOCH = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
+ID = "lpad(cast(event_id AS string), 12, '0')"
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def _number(name: str, width: int):
-    return F.lpad(F.col(name).cast("string"), width, "0")
-
-
 def transactions(spark: SparkSession, folder: str) -> DataFrame:
     """Masked events with epoch-millisecond times next to the timestamps."""
     events = table(spark, folder, "events")
-    is_naive = isinstance(events.schema["ts"].dataType, T.TimestampNTZType)
-    millis = naive_millis("ts") if is_naive else F.unix_millis("ts")
-    k = F.get_json_object("props", "$.k").cast("bigint")
-    base = events.select("event_id", "user_id", "event_type", "value", millis.alias("event_ms"), k.alias("k"))
-    channel = (
-        F.when(F.col("event_type") == "click", "WEB")
-        .when(F.col("event_type") == "view", "MOBILE")
-        .when(F.col("event_type") == "purchase", "POS")
-        .otherwise("API")
-    )
-    subnet = F.concat_ws(
-        ".",
-        (F.col("user_id") % 223 + 1).cast("string"),
-        (F.col("k") % 13).cast("string"),
-        (F.col("event_id") % 7 * 10).cast("string"),
-        F.lit("0"),
-    )
-    device = F.when(F.col("k") % 25 != 24, F.concat(F.lit("dev-"), (F.col("k") % 20).cast("string")))
-    processed = F.col("event_ms") + F.col("event_id") % 40
-    return base.select(
-        F.concat(F.lit("txn-"), _number("event_id", 12)).alias("transaction_id"),
-        F.concat(F.lit("acc-"), F.col("user_id").cast("string")).alias("account_id"),
-        F.concat(F.lit("mer-"), (F.col("k") % 10).cast("string")).alias("merchant_id"),
-        money(F.col("value")).alias("amount"),
-        F.lit("USD").alias("currency"),
-        F.timestamp_millis("event_ms").alias("event_time"),
-        F.timestamp_millis(processed).alias("processing_time"),
-        channel.alias("channel"),
-        F.lit("411111").alias("card_bin"),
-        F.lpad((F.col("event_id") % 10000).cast("string"), 4, "0").alias("card_last4"),
-        subnet.alias("caller_ip_subnet"),
-        device.alias("api_key_id"),
-        F.lit("txn:write").alias("oauth_scope"),
-        F.lit(None).cast("float").alias("geo_lat"),
-        F.lit(None).cast("float").alias("geo_lon"),
-        F.lit("1.0.0").alias("masking_lib_version"),
+    naive = isinstance(events.schema["ts"].dataType, T.TimestampNTZType)
+    millis = f"timestampdiff(MILLISECOND, {EPOCH}, ts)" if naive else "unix_millis(ts)"
+    return events.selectExpr(
         "event_id",
+        "user_id",
+        "event_type",
+        "value",
+        f"{millis} AS event_ms",
+        "cast(get_json_object(props, '$.k') AS bigint) AS k",
+    ).selectExpr(
+        f"concat('txn-', {ID}) AS transaction_id",
+        "concat('acc-', user_id) AS account_id",
+        "concat('mer-', k % 10) AS merchant_id",
+        "cast(value AS decimal(18,4)) AS amount",
+        "'USD' AS currency",
+        "timestamp_millis(event_ms) AS event_time",
+        "timestamp_millis(event_ms + event_id % 40) AS processing_time",
+        "CASE event_type WHEN 'click' THEN 'WEB' WHEN 'view' THEN 'MOBILE' WHEN 'purchase' THEN 'POS' ELSE 'API' END AS channel",
+        "'411111' AS card_bin",
+        "lpad(cast(event_id % 10000 AS string), 4, '0') AS card_last4",
+        "concat(user_id % 223 + 1, '.', k % 13, '.', event_id % 7 * 10, '.0') AS caller_ip_subnet",
+        "CASE WHEN k % 25 <> 24 THEN concat('dev-', k % 20) END AS api_key_id",
+        "'txn:write' AS oauth_scope",
+        "cast(null AS float) AS geo_lat",
+        "cast(null AS float) AS geo_lon",
+        "'1.0.0' AS masking_lib_version",
+        "event_id",
+        "user_id",
         "event_ms",
-        processed.alias("processing_ms"),
+        "event_ms + event_id % 40 AS processing_ms",
         "k",
         "event_type",
     )
@@ -67,158 +53,126 @@ def transactions(spark: SparkSession, folder: str) -> DataFrame:
 
 def resent(rows: DataFrame) -> DataFrame:
     """Transactions plus re-sent copies: of every 10th after 30 h, of every 30th also after 50 and 100 h."""
-    delays = F.when(F.col("event_id") % 30 == 0, F.array(*[F.lit(h) for h in (0, 30, 50, 100)])).when(
-        F.col("event_id") % 10 == 0, F.array(F.lit(0), F.lit(30))
-    ).otherwise(F.array(F.lit(0)))
-    copies = rows.select("*", F.explode(delays).alias("copy_hours"))
-    shift = F.col("copy_hours").cast("bigint") * HOUR_MS
-    return copies.withColumns(
-        {
-            "event_ms": F.col("event_ms") + shift,
-            "processing_ms": F.col("processing_ms") + shift,
-            "event_time": F.timestamp_millis(F.col("event_ms") + shift),
-            "processing_time": F.timestamp_millis(F.col("processing_ms") + shift),
-        }
+    copies = rows.selectExpr(
+        "*",
+        "explode(CASE WHEN event_id % 30 = 0 THEN array(0, 30, 50, 100)"
+        " WHEN event_id % 10 = 0 THEN array(0, 30) ELSE array(0) END) AS copy_hours",
     )
+    shift = "cast(copy_hours AS bigint) * 3600000"
+    moved = {
+        "event_ms": f"event_ms + {shift}",
+        "processing_ms": f"processing_ms + {shift}",
+        "event_time": f"timestamp_millis(event_ms + {shift})",
+        "processing_time": f"timestamp_millis(processing_ms + {shift})",
+    }
+    return copies.selectExpr(*[f"{moved[c]} AS {c}" if c in moved else c for c in copies.columns])
 
 
 def geo_ranges(spark: SparkSession, folder: str) -> DataFrame:
     """Nested networks per nation: its /8 blocks, one /16, one /24 and one /28 inside them."""
-    nation = table(spark, folder, "nation").select("n_nationkey", "n_name")
-    n = F.col("n_nationkey")
-    blocks = nation.select(
-        "*", F.explode(F.sequence(F.lit(1), F.lit(200))).alias("octet")
-    ).where((F.col("octet") - 1) % 25 == n)
-
-    def rows(source, network, prefix, suffix, kind, confidence):
-        return source.select(
-            network.alias("network"),
-            F.lit(prefix).alias("prefix_len"),
-            F.concat(F.lit("C"), n.cast("string")).alias("country"),
-            F.concat(F.col("n_name"), F.lit(suffix)).alias("city"),
-            F.lit(kind).cast("string").alias("network_class"),
-            F.lit(confidence).cast("float").alias("confidence"),
-        )
-
-    def inside(second: str, third: str) -> F.Column:
-        first = ((n + 7) % 25 + 1).cast("string")
-        return F.concat_ws(".", first, F.lit(second), F.lit(third), F.lit("0"))
-
-    wide = rows(blocks, F.concat(F.col("octet").cast("string"), F.lit(".0.0.0")), 8, "-wide", None, None)
-    city = rows(nation, inside("5", "0"), 16, "-city", "HOSTING", 0.5)
-    street = rows(nation, inside("5", "20"), 24, "-street", "MOBILE", 0.75)
-    house = rows(nation, inside("5", "30"), 28, "-house", "BUSINESS", 0.25)
-    return wide.unionByName(city).unionByName(street).unionByName(house)
+    nation = table(spark, folder, "nation").selectExpr("n_nationkey AS n", "n_name")
+    blocks = nation.selectExpr("*", "explode(sequence(1, 200)) AS octet").where("(octet - 1) % 25 = n")
+    wide = blocks.selectExpr(
+        "concat(octet, '.0.0.0') AS network", "8 AS prefix_len", "concat('C', n) AS country", "concat(n_name, '-wide') AS city",
+        "cast(null AS string) AS network_class", "cast(null AS float) AS confidence",
+    )
+    inner = nation.selectExpr(
+        "*",
+        "stack(3, '0', 16, '-city', 'HOSTING', 0.5D, '20', 24, '-street', 'MOBILE', 0.75D,"
+        " '30', 28, '-house', 'BUSINESS', 0.25D) AS (third, prefix_len, suffix, network_class, confidence)",
+    ).selectExpr(
+        "concat((n + 7) % 25 + 1, '.5.', third, '.0') AS network", "prefix_len", "concat('C', n) AS country",
+        "concat(n_name, suffix) AS city", "network_class", "cast(confidence AS float) AS confidence",
+    )
+    return wide.unionByName(inner)
 
 
 def enriched_table(spark: SparkSession, folder: str) -> DataFrame:
     """A lake table in which every 10th transaction was written twice, the later copy with a higher amount."""
-    tx = transactions(spark, folder)
-    copies = tx.select(
+    copies = transactions(spark, folder).selectExpr(
+        "*", "explode(CASE WHEN event_id % 10 = 0 THEN array(0, 1) ELSE array(0) END) AS copy"
+    )
+    based = copies.selectExpr(
         "*",
-        F.explode(F.when(F.col("event_id") % 10 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("copy"),
+        "cast(amount + copy AS decimal(18,4)) AS amt",
+        "processing_ms + event_id % 120 + copy * 1000 AS enriched_ms",
+        "CASE WHEN event_id % 11 <> 0 THEN concat('C', k % 25) END AS country",
+        "cast(event_id % 9 + 1 AS int) AS cnt",
+        "api_key_id IS NOT NULL AS has_device",
     )
-    n = F.col("event_id")
-    count = (n % 9 + 1).cast("int")
-    latency = (n % 120).cast("int")
-    enriched_ms = F.col("processing_ms") + n % 120 + F.col("copy") * 1000
-    amount = (F.col("amount") + F.col("copy")).cast("decimal(18,4)")
-    country = F.when(n % 11 != 0, F.concat(F.lit("C"), (F.col("k") % 25).cast("string")))
-    return copies.select(
-        "transaction_id", "account_id", "merchant_id",
-        amount.alias("amount"),
-        "currency", "event_time",
-        F.timestamp_millis(enriched_ms).alias("enrichment_time"),
-        "channel", "card_bin", "card_last4", "caller_ip_subnet",
-        F.coalesce("api_key_id", F.lit("")).alias("api_key_id"),
+    velocity = []
+    for label, factor in (("1m", 1), ("5m", 2), ("1h", 3), ("24h", 4)):
+        velocity += [
+            f"cnt * {factor} AS vel_count_{label}",
+            f"cast(amt * {factor} AS decimal(18,4)) AS vel_amount_{label}",
+        ]
+    return based.selectExpr(
+        "transaction_id", "account_id", "merchant_id", "amt AS amount", "currency", "event_time",
+        "timestamp_millis(enriched_ms) AS enrichment_time",
+        "channel", "card_bin", "card_last4", "caller_ip_subnet", "coalesce(api_key_id, '') AS api_key_id",
         "oauth_scope", "geo_lat", "geo_lon", "masking_lib_version",
-        *[
-            value.alias(name)
-            for label, factor in (("1m", 1), ("5m", 2), ("1h", 3), ("24h", 4))
-            for name, value in (
-                (f"vel_count_{label}", count * factor),
-                (f"vel_amount_{label}", (amount * factor).cast("decimal(18,4)")),
-            )
-        ],
-        country.alias("geo_country"),
-        F.concat(country, F.lit("-city")).alias("geo_city"),
-        F.when(country.isNotNull(), F.when(F.col("k") % 7 == 0, "HOSTING").otherwise("RESIDENTIAL")).alias("geo_network_class"),
-        F.when(country.isNotNull(), F.lit(0.5)).cast("float").alias("geo_confidence"),
-        F.when(F.col("api_key_id").isNotNull(), F.timestamp_millis(F.col("event_ms") - n % 5 * HOUR_MS)).alias("device_first_seen"),
-        F.when(F.col("api_key_id").isNotNull(), (n % 5 + 1).cast("int")).alias("device_txn_count"),
-        F.when(F.col("api_key_id").isNotNull(), n % 97 == 0).alias("device_known_fraud"),
-        F.when(n % 5 != 0, F.concat(F.lit("C"), (F.col("k") % 24).cast("string"))).alias("prev_geo_country"),
-        F.when(n % 5 != 0, F.timestamp_millis(F.col("event_ms") - n % 5 * 600_000)).alias("prev_txn_time_ms"),
-        latency.alias("enrichment_latency_ms"),
-        F.lit("1.0").alias("processor_version"),
-        F.lit("1").alias("schema_version"),
-        F.unix_millis("event_time").alias("event_ms"),
-        enriched_ms.alias("enriched_ms"),
-        "event_id", "event_type",
+        *velocity,
+        "country AS geo_country",
+        "concat(country, '-city') AS geo_city",
+        "CASE WHEN country IS NOT NULL THEN CASE WHEN k % 7 = 0 THEN 'HOSTING' ELSE 'RESIDENTIAL' END END AS geo_network_class",
+        "cast(CASE WHEN country IS NOT NULL THEN 0.5 END AS float) AS geo_confidence",
+        "CASE WHEN has_device THEN timestamp_millis(event_ms - event_id % 5 * 3600000) END AS device_first_seen",
+        "CASE WHEN has_device THEN cast(event_id % 5 + 1 AS int) END AS device_txn_count",
+        "CASE WHEN has_device THEN event_id % 97 = 0 END AS device_known_fraud",
+        "CASE WHEN event_id % 5 <> 0 THEN concat('C', k % 24) END AS prev_geo_country",
+        "CASE WHEN event_id % 5 <> 0 THEN timestamp_millis(event_ms - event_id % 5 * 600000) END AS prev_txn_time_ms",
+        "cast(event_id % 120 AS int) AS enrichment_latency_ms",
+        "'1.0' AS processor_version", "'1' AS schema_version",
+        "event_ms", "enriched_ms", "event_id", "event_type",
     )
 
 
 def decision_table(spark: SparkSession, folder: str) -> DataFrame:
     """A decision table by amount: every 20th decision was made twice, every 50th transaction has none."""
-    tx = transactions(spark, folder).where(F.col("event_id") % 50 != 7)
-    n = F.col("event_id")
-    copies = tx.select(
-        "*", F.explode(F.when(n % 20 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("copy")
+    copies = transactions(spark, folder).where("event_id % 50 <> 7").selectExpr(
+        "*", "explode(CASE WHEN event_id % 20 = 0 THEN array(0, 1) ELSE array(0) END) AS copy"
     )
-    decision = (
-        F.when((F.col("copy") == 1) | (F.col("amount") >= 150), "BLOCK")
-        .when(F.col("amount") >= 60, "FLAG")
-        .otherwise("ALLOW")
+    shaped = copies.selectExpr(
+        "*",
+        "CASE WHEN copy = 1 OR amount >= 150 THEN 'BLOCK' WHEN amount >= 60 THEN 'FLAG' ELSE 'ALLOW' END AS decision",
+        "processing_ms + 15 + copy * 5000 AS decided_ms",
     )
-    decided_ms = F.col("processing_ms") + 15 + F.col("copy") * 5000
-    shaped = copies.select("*", decision.alias("decision"), decided_ms.alias("decided_ms"))
-    fired = [
-        F.when(F.col("decision") == "BLOCK", "VEL-001"),
-        F.when((F.col("decision") != "ALLOW") & (F.col("k") % 2 == 0), "VEL-003"),
-        F.when((F.col("decision") != "ALLOW") & (F.col("k") % 3 == 0), "XX-999"),
-        F.when((F.col("decision") == "ALLOW") & (F.col("k") % 10 == 0), "ND-001"),
-        F.when((F.col("decision") == "FLAG") & (F.col("k") % 5 == 0), "VEL-004:shadow"),
-    ]
-    score = F.when(F.col("decision") == "ALLOW", 0.0).when(F.col("decision") == "FLAG", 0.3).otherwise(0.8)
-    shadow = [
-        F.when(F.col("k") % 5 == 0, "VEL-004:shadow"),
-        F.when(F.col("amount") >= 100, "ND-002:shadow"),
-        F.when(F.col("amount") >= 20, "IT-001:shadow"),
-    ]
-    return shaped.select(
+    return shaped.selectExpr(
         "transaction_id",
         "decision",
-        score.alias("fraud_score"),
-        F.array_compact(F.array(*fired)).alias("rule_triggers"),
-        F.concat(F.lit("model-"), (n % 3).cast("string")).alias("model_version"),
-        F.timestamp_millis("decided_ms").alias("decision_time_ms"),
-        ((n % 97) / F.lit(4.0)).alias("latency_ms"),
-        F.lit("1").alias("schema_version"),
-        F.array_compact(F.array(*shadow)).alias("shadow_triggers"),
+        "CASE decision WHEN 'ALLOW' THEN 0.0D WHEN 'FLAG' THEN 0.3D ELSE 0.8D END AS fraud_score",
+        "array_compact(array(CASE WHEN decision = 'BLOCK' THEN 'VEL-001' END,"
+        " CASE WHEN decision <> 'ALLOW' AND k % 2 = 0 THEN 'VEL-003' END,"
+        " CASE WHEN decision <> 'ALLOW' AND k % 3 = 0 THEN 'XX-999' END,"
+        " CASE WHEN decision = 'ALLOW' AND k % 10 = 0 THEN 'ND-001' END,"
+        " CASE WHEN decision = 'FLAG' AND k % 5 = 0 THEN 'VEL-004:shadow' END)) AS rule_triggers",
+        "concat('model-', event_id % 3) AS model_version",
+        "timestamp_millis(decided_ms) AS decision_time_ms",
+        "event_id % 97 / 4.0D AS latency_ms",
+        "'1' AS schema_version",
+        "array_compact(array(CASE WHEN k % 5 = 0 THEN 'VEL-004:shadow' END,"
+        " CASE WHEN amount >= 100 THEN 'ND-002:shadow' END,"
+        " CASE WHEN amount >= 20 THEN 'IT-001:shadow' END)) AS shadow_triggers",
         "decided_ms", "account_id", "event_ms", "event_id", "amount", "k",
     )
 
 
 def dead_letters(spark: SparkSession, folder: str) -> DataFrame:
     """Error events as dead letters of the four topics; some payloads are not JSON."""
-    tx = transactions(spark, folder).where(F.col("event_type") == "error")
-    topics = F.array(*[F.lit(t) for t in ("txn.ingestion.dlq", "txn.processing.dlq", "txn.scoring.dlq", "txn.fraud.alerts.dlq")])
-    kinds = ("schema_invalid", "deserialization_failure", "downstream_unavailable", "late_event_beyond_window", "unknown_error", "enrichment_exception")
-    kind = F.get(F.array(*[F.lit(x) for x in kinds]), (F.col("k") % 7).cast("int"))
-    body = F.to_json(
-        F.struct(
-            kind.alias("error_type"),
-            F.col("transaction_id"),
-            F.concat(F.lit("4111111111"), _number("event_id", 6)).alias("card_number"),
-            F.concat_ws(".", F.lit("9"), (F.col("k") % 10).cast("string"), F.lit("1"), F.lit("2")).alias("ip"),
-        )
+    errors = transactions(spark, folder).where("event_type = 'error'").selectExpr(
+        "*",
+        "get(array('schema_invalid', 'deserialization_failure', 'downstream_unavailable', 'late_event_beyond_window',"
+        " 'unknown_error', 'enrichment_exception'), cast(k % 7 AS int)) AS kind",
     )
-    return tx.select(
-        F.concat(F.lit("dlq-"), _number("event_id", 12)).alias("dlq_id"),
-        F.get(topics, (F.col("k") % 4).cast("int")).alias("dlq_topic"),
+    return errors.selectExpr(
+        f"concat('dlq-', {ID}) AS dlq_id",
+        "get(array('txn.ingestion.dlq', 'txn.processing.dlq', 'txn.scoring.dlq', 'txn.fraud.alerts.dlq'),"
+        " cast(k % 4 AS int)) AS dlq_topic",
         "transaction_id",
-        F.when(F.col("event_id") % 23 == 0, F.concat(F.lit("broken "), F.col("transaction_id"))).otherwise(body).alias("payload"),
-        F.timestamp_millis(F.col("event_ms") + 60).alias("failed_at"),
-        (F.col("event_ms") + 60).alias("failed_ms"),
+        "CASE WHEN event_id % 23 = 0 THEN concat('broken ', transaction_id) ELSE to_json(struct(kind AS error_type,"
+        " transaction_id, concat('4111111111', lpad(cast(event_id AS string), 6, '0')) AS card_number,"
+        " concat('9.', k % 10, '.1.2') AS ip)) END AS payload",
+        "timestamp_millis(event_ms + 60) AS failed_at",
+        "event_ms + 60 AS failed_ms",
         "event_id",
     )
