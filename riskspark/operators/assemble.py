@@ -12,6 +12,7 @@ from riskspark.operators.velocity import velocity_features
 from riskspark.schemas import ENRICHED_EVENT
 
 PROCESSOR_VERSION = "002-stream-processor@1.0.0"  # fixed value
+MAX_INT = 2**31 - 1
 RULE_INPUTS = ["txn_time_ms", "txn_amount", "device_is_new", "device_count_24h"]
 
 
@@ -23,10 +24,11 @@ def assemble(features: DataFrame, enriched_at_ms: Column, version: str = PROCESS
     once per row.
     """
     timed = features.select("*", enriched_at_ms.alias("_enriched_ms"))
+    latency = non_negative_gap(F.col("_enriched_ms"), F.col("processing_ms"))
     timed = timed.withColumns(
         {
             "enrichment_time": F.timestamp_millis("_enriched_ms"),
-            "enrichment_latency_ms": non_negative_gap(F.col("_enriched_ms"), F.col("processing_ms")).cast("int"),
+            "enrichment_latency_ms": F.least(latency, F.lit(MAX_INT)).cast("int"),
             "processor_version": F.lit(version),
             "schema_version": F.lit("1"),
             "txn_time_ms": F.col("event_ms"),

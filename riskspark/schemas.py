@@ -199,7 +199,7 @@ def _coerced(df: DataFrame, field: T.StructField) -> Column:
     if field.name not in df.columns:
         return F.lit(None).cast(field.dataType)
     column, source = F.col(field.name), df.schema[field.name].dataType
-    if source == field.dataType:
+    if source.simpleString() == field.dataType.simpleString():  # nullability inside arrays aside
         return column
     if isinstance(field.dataType, T.TimestampType) and isinstance(source, T.IntegralType):
         return F.timestamp_millis(column)

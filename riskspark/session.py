@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -31,7 +33,19 @@ def build_session(app_name: str = "riskspark", master: str | None = None, **extr
         builder = builder.config(key, value)
     for key, value in extra.items():
         builder = builder.config(key.replace("__", "."), value)
-    return builder.getOrCreate()
+    session = builder.getOrCreate()
+    ship_package(session)
+    return session
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Makes this package importable in Python workers, which the stateful streams need."""
+    package = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="spark-")) / "riskspark.zip"
+    with zipfile.ZipFile(archive, "w") as bundle:
+        for source in sorted(package.rglob("*.py")):
+            bundle.write(source, source.relative_to(package.parent))
+    spark.sparkContext.addPyFile(str(archive))
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
