@@ -31,24 +31,27 @@ def _value(df: DataFrame, field: T.StructField):
     return column.cast(field.dataType)
 
 
-def feature_views(enriched: DataFrame) -> dict[str, DataFrame]:
-    """The three feature tables of an enriched batch: key, transaction, event time, values.
+def feature_table(enriched: DataFrame) -> DataFrame:
+    """All features of an enriched batch in one table: key, transaction, event time, 17 values.
 
     Missing values become 0, false or '', except the two device times, which
     stay null.
     """
-    views = {}
-    for view, fields in FEATURE_COLUMNS.items():
-        values = []
-        for field in fields:
-            value = _value(enriched, field)
-            if field.name not in _TIMES:
-                value = F.coalesce(value, _zero(field.dataType))
-            values.append(value.alias(field.name))
-        views[view] = enriched.select(
-            KEY, "transaction_id", F.col("event_time").alias(TIME), *values
-        )
-    return views
+    values = []
+    for field in (field for fields in FEATURE_COLUMNS.values() for field in fields):
+        value = _value(enriched, field)
+        if field.name not in _TIMES:
+            value = F.coalesce(value, _zero(field.dataType))
+        values.append(value.alias(field.name))
+    return enriched.select(KEY, "transaction_id", F.col("event_time").alias(TIME), *values)
+
+
+def feature_views(enriched: DataFrame) -> dict[str, DataFrame]:
+    """The three feature tables of an enriched batch."""
+    table = feature_table(enriched)
+    return {
+        view: table.select(KEY, "transaction_id", TIME, *fields.names) for view, fields in FEATURE_COLUMNS.items()
+    }
 
 
 def latest_features(view: DataFrame, name: str) -> DataFrame:
@@ -111,7 +114,8 @@ def as_of_views(
     """Adds, per view, the newest values not later than the entity row and not older than its TTL.
 
     `views` maps a name to (rows, value columns, TTL in ms). Adds `<name>_at_ms`
-    and the value columns of each view.
+    and the value columns of each view. Views given as the same DataFrame are
+    read once.
 
     Entities and the rows of all views are merged into one ordered sequence per
     key, so no row pairs are formed and everything takes one shuffle. Hot keys
@@ -121,14 +125,18 @@ def as_of_views(
     rows = entities.select(
         F.col(key).alias("_key"), F.col(entity_ms).alias("_ms"), F.struct(*entities.columns).alias("_row")
     )
+    sources: dict[int, list[str]] = {}
+    for name, (view, _, _) in views.items():
+        sources.setdefault(id(view), []).append(name)
     features = None
-    for name, (view, columns, _) in views.items():
-        value = F.struct(F.col(feature_ms).alias("_at"), *[F.col(c) for c in columns])
+    for names in sources.values():
+        view = views[names[0]][0]
+        values = [
+            F.struct(F.col(feature_ms).alias("_at"), *[F.col(c) for c in views[name][1]]).alias(f"_value_{name}")
+            for name in names
+        ]
         part = view.where(F.col(key).isNotNull() & F.col(feature_ms).isNotNull()).select(
-            F.col(key).alias("_key"),
-            F.col(feature_ms).alias("_ms"),
-            F.col(tiebreak).alias("_tie"),
-            value.alias(f"_value_{name}"),
+            F.col(key).alias("_key"), F.col(feature_ms).alias("_ms"), F.col(tiebreak).alias("_tie"), *values
         )
         features = part if features is None else features.unionByName(part, allowMissingColumns=True)
     merged = features.withColumn("_is_row", F.lit(False)).unionByName(
@@ -175,15 +183,12 @@ def as_of(entities: DataFrame, view: DataFrame, columns: list[str], ttl_ms: int,
 
 def point_in_time(entities: DataFrame, views: dict[str, DataFrame], **options) -> DataFrame:
     """All feature tables as of each entity row, each within its own time to live."""
-    timed = {
-        name: (
-            view.withColumn("feature_ms", F.unix_millis(TIME)),
-            FEATURE_COLUMNS[name].names,
-            FEATURE_TTL_HOURS[name] * HOUR_MS,
-        )
+    timed = {id(view): view.withColumn("feature_ms", F.unix_millis(TIME)) for view in views.values()}
+    wanted = {
+        name: (timed[id(view)], FEATURE_COLUMNS[name].names, FEATURE_TTL_HOURS[name] * HOUR_MS)
         for name, view in views.items()
     }
-    return as_of_views(entities, timed, **options)
+    return as_of_views(entities, wanted, **options)
 
 
 def freshness(view: DataFrame, batch_ms: int, limit_ms: int = 30_000) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from riskspark.functions.clock import DAY_MS, HOUR_MS, naive_millis
 from riskspark.operators import feedback
 from riskspark.operators import features as ft
-from riskspark.operators.decisions import latest_decisions
+from riskspark.operators.decisions import latest_decisions, latest_enriched
 from riskspark.registry.base import DECIDED, ENRICHED, TX, num, register, with_ctes
 from riskspark.sources import driver_tables as given
 
@@ -35,8 +35,6 @@ REST_SQL = "geo_country, geo_city, geo_network_class, geo_confidence, device_fir
 
 
 def given_views(spark, folder):
-    from riskspark.operators.decisions import latest_enriched
-
     return ft.feature_views(latest_enriched(given.enriched_table(spark, folder)))
 
 
@@ -188,7 +186,8 @@ def _training_sql() -> str:
 @register("training_set", _training_sql())
 def training_set(spark, folder):
     rows = labelled(spark, folder).select("transaction_id", "account_id", "event_ms", "is_fraud")
-    result = feedback.training_set(rows, given_views(spark, folder))
+    features = ft.feature_table(latest_enriched(given.enriched_table(spark, folder)))
+    result = feedback.training_set(rows, dict.fromkeys(("velocity", "geo", "device"), features))
     return result.select(
         "transaction_id", "is_fraud", "velocity_at_ms", "vel_count_1m", "vel_amount_24h",
         "geo_at_ms", "geo_country", "device_at_ms", "device_txn_count", "prev_geo_country",
