@@ -13,7 +13,7 @@ SENSITIVE_NAMES = ("card_number", "full_ip", "ssn")
 PRIVATE_V4 = r"^(10\.|172\.(1[6-9]|2[0-9]|3[01])\.|192\.168\.|127\.0\.0\.1$)"
 # End of fixed values.
 V4_CANDIDATE = r"\b[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}\.[0-9]{1,3}(?:/[0-9]{1,2})?\b"
-V6_CANDIDATE = r"(?:[0-9A-Fa-f]{0,4}:){2,7}[0-9A-Fa-f]{0,4}"
+V6_CANDIDATE = r"(?<![0-9A-Za-z_:])(?:[0-9A-Fa-f]{0,4}:){2,7}[0-9A-Fa-f]{0,4}(?![0-9A-Za-z_:])"
 WIDEST_EXEMPT_PREFIX = 24
 
 

@@ -100,7 +100,7 @@ def _pii_sql() -> str:
     return f"""
 WITH cells AS ({cells}),
 v4 AS (SELECT table_name, matched_field, txt, unnest(regexp_extract_all(txt, '\\b[0-9]{{1,3}}\\.[0-9]{{1,3}}\\.[0-9]{{1,3}}\\.[0-9]{{1,3}}(?:/[0-9]{{1,2}})?\\b')) AS c FROM cells),
-v6 AS (SELECT table_name, matched_field, txt, unnest(regexp_extract_all(txt, '(?:[0-9A-Fa-f]{{0,4}}:){{2,7}}[0-9A-Fa-f]{{0,4}}')) AS c FROM cells),
+v6 AS (SELECT table_name, matched_field, txt, unnest(regexp_extract_all(txt, '(?:^|[^0-9A-Za-z_:])((?:[0-9A-Fa-f]{{0,4}}:){{2,7}}[0-9A-Fa-f]{{0,4}})(?:$|[^0-9A-Za-z_:])', 1)) AS c FROM cells),
 hits AS (
   SELECT table_name, matched_field, txt, 'PAN' AS p FROM cells WHERE regexp_matches(txt, '\\b\\d{{4}}[\\s-]?\\d{{4}}[\\s-]?\\d{{4}}[\\s-]?\\d{{4}}\\b')
   UNION ALL SELECT DISTINCT table_name, matched_field, txt, 'IPv4' FROM v4
