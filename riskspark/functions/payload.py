@@ -20,8 +20,13 @@ def as_map(payload: Column) -> Column:
 
 
 def sanitised(payload: Column) -> Column:
-    """JSON text without the keys that may hold an unmasked card or address."""
-    return F.to_json(F.map_filter(as_map(payload), lambda k, _: ~k.isin(*UNMASKED_KEYS)))
+    """JSON text without the keys that may hold an unmasked card or address.
+
+    Values keep their JSON types; text that is no object comes back under `_raw`.
+    """
+    fields = F.try_variant_get(F.try_parse_json(payload), "$", "map<string,variant>")
+    kept = F.to_json(F.map_filter(fields, lambda k, _: ~k.isin(*UNMASKED_KEYS)))
+    return F.coalesce(kept, F.to_json(as_map(payload)))
 
 
 def _masked(value: Column) -> Column:

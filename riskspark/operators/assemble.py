@@ -63,7 +63,7 @@ def add_features(events: DataFrame, ranges: DataFrame, known_fraud: DataFrame |
     """
     located = geo_enrich(events, ranges)
     moving = velocity_features(located, history=events)
-    return device_features(moving, history=located, known_fraud=known_fraud)
+    return device_features(moving, history=located, keys=events, known_fraud=known_fraud)
 
 
 def as_record(assembled: DataFrame) -> DataFrame:

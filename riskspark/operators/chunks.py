@@ -20,22 +20,30 @@ from riskspark.functions.clock import slot
 
 CHUNK_MS = 10_000
 HOT_ROWS = 1_000_000
+MAX_HOT_KEYS = 100_000  # bound of the broadcast list of hot keys
 CHUNK = "_chunk"
 WHOLE_KEY = -1  # chunk number of keys that are not cut
 NULL_KEY_SPREAD = 4096
 
 
 def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys with more than `hot_rows` rows; counted on the map side, reading only the key."""
-    counted = df.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("_hot")).agg(F.count(F.lit(1)).alias("_n"))
-    return counted.where(F.col("_n") > hot_rows).select("_hot")
+    """Keys with so many rows that they must not stay in one task.
+
+    That is more than `hot_rows`, and more than a `MAX_HOT_KEYS`th of all rows,
+    so there are never more than `MAX_HOT_KEYS` of them, however large the table.
+    Rows are counted on the map side, and only the key is read.
+    """
+    keyed = df.where(F.col(key).isNotNull()).select(F.col(key).alias("_hot"))
+    total = keyed.agg(F.count(F.lit(1)).alias("n")).scalar()
+    counted = keyed.groupBy("_hot").agg(F.count(F.lit(1)).alias("_n"))
+    return counted.where(F.col("_n") > F.greatest(F.lit(hot_rows), total / F.lit(MAX_HOT_KEYS))).select("_hot")
 
 
 def with_chunk(
     df: DataFrame, key: str, time_ms: str, spread_by: Sequence[str], hot: DataFrame, chunk_ms: int = CHUNK_MS
 ) -> DataFrame:
     """Adds the chunk number. Rows without a key are spread by hash, they never meet anyway."""
-    # At most (rows of df / hot_rows) keys are hot, a millionth of the table.
+    # `hot` has at most MAX_HOT_KEYS rows.
     flagged = df.join(F.broadcast(hot), F.col(key) == F.col("_hot"), "left")
     spread = F.pmod(F.xxhash64(*spread_by), F.lit(NULL_KEY_SPREAD))
     chunk = (

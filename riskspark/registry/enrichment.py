@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from riskspark.functions import clock
 from riskspark.functions import ip as ipf
 from riskspark.operators import dedup
+from riskspark.operators.corrections import corrected
 from riskspark.operators.assemble import add_features, assemble
 from riskspark.operators.device import DEVICE_COLUMNS, device_features
 from riskspark.operators.geo import GEO_COLUMNS, geo_enrich
@@ -188,6 +189,22 @@ def schema_conform(spark, folder):
     )
 
 
+@register(
+    "late_corrections",
+    with_ctes(TX, "punctual AS (SELECT * FROM tx WHERE event_id % 17 <> 3)", velocity_cte("punctual", "before"), velocity_cte("tx", "after"))
+    + "SELECT a.transaction_id, "
+    + ", ".join(f"a.vel_count_{label}, {num(f'a.vel_amount_{label}')} AS vel_amount_{label}" for label, _ in WINDOWS)
+    + " FROM after a JOIN before b USING (transaction_id) WHERE "
+    + " OR ".join(f"a.vel_count_{label} <> b.vel_count_{label}" for label, _ in WINDOWS),
+)
+def late_corrections(spark, folder):
+    """Every 17th transaction arrives late; the rows it should have counted for are emitted again."""
+    tx = given.transactions(spark, folder)
+    stored = velocity_features(tx.where("event_id % 17 <> 3")).withColumn("enrichment_time", F.col("processing_time"))
+    late = tx.where("event_id % 17 = 3")
+    return corrected(stored, late, F.lit(0).cast("bigint")).select("transaction_id", *VELOCITY_COLUMNS)
+
+
 V6_TEXT = """CASE CAST(event_id % 5 AS INTEGER)
     WHEN 0 THEN '2001:db8:' || to_hex(user_id) || ':0::1'
     WHEN 1 THEN '2001:0DB8:0000:00' || lpad(to_hex(k), 2, '0') || ':1:2:3:4'

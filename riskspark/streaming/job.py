@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from riskspark.operators import decisions as dec
 from riskspark.operators.assemble import as_record, assemble
+from riskspark.operators.corrections import LATE_COLUMNS, corrected
 from riskspark.operators.rules import Rule, evaluate
 from riskspark.plans.dead_letters import processing_envelopes
 from riskspark.schemas import DECISION, ENRICHED_TABLE
@@ -63,8 +64,14 @@ def batch_function(
             record = assemble(as_features(accepted), now_ms)
             evaluated = evaluate(record, rules)
             order = ["enrichment_time", "account_id"]
+            rows = as_record(record)
+            late = accepted.where(F.col("lateness") == "within").select(*LATE_COLUMNS)
+            stored = sinks.stored_before(batch.sparkSession, paths.enriched, batch_id)
+            if stored is not None and not late.isEmpty():
+                again = corrected(stored, late, now_ms)
+                rows = rows.select(*ENRICHED_TABLE.names).unionByName(again.select(*ENRICHED_TABLE.names))
             sinks.write_record_table(
-                as_record(record), ENRICHED_TABLE, paths.enriched, "event_day", "event_time", batch_id, order, paths.misfits
+                rows, ENRICHED_TABLE, paths.enriched, "event_day", "event_time", batch_id, order, paths.misfits
             )
             decided = dec.decide(evaluated, now_ms)
             sinks.write_record_table(

@@ -88,6 +88,24 @@ def test_stream_equals_batch_with_restart_late_rows_and_copies(spark, small, sub
         assert spark.read.parquet(f"{root}/features/{view}").count() == 1000
 
 
+def test_late_row_corrects_stored_rows(spark, small, subnets, folder):
+    """A row 20 s behind the newest is late but accepted; rows after it are emitted again."""
+    source, root = f"{folder}/in", f"{folder}/out"
+    tx = events_of(spark, small).where("event_id < 300")
+    newest = tx.orderBy(F.col("event_ms").desc()).limit(1)
+    add_file(tx, source)
+    moved = newest.withColumns(
+        {"transaction_id": F.lit("late-2"), "event_time": F.timestamp_millis(F.col("event_ms") - 20_000)}
+    )
+    add_file(moved, source)
+    run(spark, source, subnets, root)
+    versions = read_enriched(spark, f"{root}/enriched").where(F.col("account_id") == newest.first().account_id)
+    again = versions.where(F.col("transaction_id") == newest.first().transaction_id).orderBy("enrichment_time").collect()
+    assert [r.vel_count_1m for r in again] == [again[0].vel_count_1m, again[0].vel_count_1m + 1]
+    assert read_enriched(spark, f"{root}/enriched").where("transaction_id = 'late-2'").count() == 1
+    assert spark.read.schema("transaction_id string").parquet(f"{root}/late").count() == 0
+
+
 def test_misfit_row_becomes_a_letter(spark, small, subnets, folder):
     source, root = f"{folder}/in", f"{folder}/out"
     add_file(given.transactions(spark, small).where("event_id < 200"), source)  # some have no device key
