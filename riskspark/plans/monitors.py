@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskspark.functions.clock import MINUTE_MS, minute_of
@@ -14,6 +14,7 @@ P99_LIMIT_MS = 20
 SILENT_MINUTES = 15
 FLAG_RATE_MINUTES = 5
 ALERTS_PER_SECOND = 100
+STALL_MS = 60_000
 
 
 def window_start(time_ms: str, minutes: int) -> Column:
@@ -51,11 +52,11 @@ def dead_letter_alarm(dead: DataFrame, failed_ms: str) -> DataFrame:
     return dead.groupBy(window_start(failed_ms, 1), "error_type").agg(F.count(F.lit(1)).alias("letters"))
 
 
-def alert_burst(alert_rows: DataFrame, time_ms: str) -> DataFrame:
+def alert_burst(alert_rows: DataFrame, time_ms: str, limit: float = ALERTS_PER_SECOND) -> DataFrame:
     """Five minute windows with more alerts per second than the limit."""
     counted = alert_rows.groupBy(window_start(time_ms, 5)).agg(F.count(F.lit(1)).alias("alerts"))
     rate = F.col("alerts") / F.lit(300.0)
-    return counted.withColumn("per_second", rate).where(rate > ALERTS_PER_SECOND)
+    return counted.withColumn("per_second", rate).where(rate > limit)
 
 
 def silent_minutes(df: DataFrame, time_ms: str, flagged: Column) -> DataFrame:
@@ -78,6 +79,29 @@ def silent_minutes(df: DataFrame, time_ms: str, flagged: Column) -> DataFrame:
     return silent.select((F.col("minute") * F.lit(MINUTE_MS)).alias("minute_ms"))
 
 
+def stalled_watermark(df: DataFrame, at_ms: str, watermark_ms: str, limit_ms: int = STALL_MS) -> DataFrame:
+    """Intervals longer than the limit in which no row moved the watermark forward.
+
+    Rows are reduced to one per minute before anything is ordered over all of
+    them; only the rows that move the watermark decide where an interval ends.
+    """
+    at, mark = F.col(at_ms), F.col(watermark_ms)
+    rows = df.select(minute_of(at).alias("minute"), at.alias("at"), mark.alias("mark"))
+    per_minute = rows.groupBy("minute").agg(F.max("mark").alias("top"), F.max_by("at", F.struct("mark", -F.col("at"))).alias("last_at"))
+    in_order = Window.orderBy("minute")
+    reached = per_minute.select(
+        "minute", "last_at", "top", F.max("top").over(in_order.rowsBetween(Window.unboundedPreceding, -1)).alias("before")
+    ).where(F.col("before").isNull() | (F.col("top") > F.col("before")))
+    moving = rows.join(reached.select("minute", "before"), "minute").where(
+        F.col("before").isNull() | (F.col("mark") > F.col("before"))
+    )
+    first = moving.groupBy("minute").agg(F.min("at").alias("first_at"))
+    steps = reached.join(first, "minute").select("first_at", F.lag("last_at").over(in_order).alias("from_ms"))
+    return steps.where(F.col("first_at") - F.col("from_ms") > limit_ms).select(
+        "from_ms", F.col("first_at").alias("to_ms"), (F.col("first_at") - F.col("from_ms")).alias("stalled_ms")
+    )
+
+
 def late_split(df: DataFrame, event_ms: str, watermark_ms: str, lateness_ms: int = 30_000) -> DataFrame:
     """Adds `lateness`: on_time, within (late but accepted) or beyond (to dead letters).
 

@@ -49,10 +49,11 @@ def flag_rate(spark, folder):
     "alert_burst",
     with_ctes(TX, DECIDED, ALERTS)
     + f"""SELECT evaluation_ms // 300000 * 300000 AS window_ms, count(*) AS alerts, {num('count(*) / 300.0::DOUBLE')} AS per_second FROM al
-  GROUP BY ALL HAVING count(*) / 300.0 > 100""",
+  GROUP BY ALL HAVING count(*) / 300.0 > 0.005""",
 )
 def alert_burst(spark, folder):
-    return monitors.alert_burst(given_alerts(spark, folder), "evaluation_ms")
+    """With a limit the given tables reach: two alerts in five minutes."""
+    return monitors.alert_burst(given_alerts(spark, folder), "evaluation_ms", limit=0.005)
 
 
 @register(
@@ -67,6 +68,20 @@ def silent_interval(spark, folder):
     return monitors.silent_minutes(given.transactions(spark, folder), "event_ms", F.col("amount") >= 100)
 
 
+@register(
+    "watermark_stall",
+    with_ctes(TX, """
+w AS (SELECT processing_ms AS t, event_ms - k % 50 * 60000 AS mark, event_id FROM tx),
+m AS (SELECT t, mark, max(mark) OVER (ORDER BY t, mark DESC, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reached FROM w),
+s AS (SELECT t, lag(t) OVER (ORDER BY t) AS from_ms FROM m WHERE reached IS NULL OR mark > reached)""")
+    + "SELECT from_ms, t AS to_ms, t - from_ms AS stalled_ms FROM s WHERE t - from_ms > 1800000",
+)
+def watermark_stall(spark, folder):
+    """Rows up to 50 minutes behind; stalls of more than half an hour."""
+    rows = given.transactions(spark, folder).selectExpr("processing_ms", "event_ms - k % 50 * 60000 AS mark")
+    return monitors.stalled_watermark(rows, "processing_ms", "mark", limit_ms=1_800_000)
+
+
 @register(
     "late_event_split",
     with_ctes(TX, """

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import time
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
@@ -46,7 +47,11 @@ def late_letters(refused: DataFrame, source_topic: str) -> DataFrame:
 
 
 def batch_function(
-    rules: Iterable[Rule], paths: Paths, source_topic: str, deliver: Callable[[DataFrame], None] | None
+    rules: Iterable[Rule],
+    paths: Paths,
+    source_topic: str,
+    deliver: Callable[[DataFrame], None] | None,
+    publish: Callable[[DataFrame], None] | None,
 ) -> Callable[[DataFrame, int], None]:
     """Writes all outputs of one micro-batch, which is computed once and kept for the writes."""
     rules = list(rules)
@@ -66,9 +71,13 @@ def batch_function(
             order = ["enrichment_time", "account_id"]
             rows = as_record(record)
             late = accepted.where(F.col("lateness") == "within").select(*LATE_COLUMNS)
-            stored = sinks.stored_before(batch.sparkSession, paths.enriched, batch_id)
-            if stored is not None and not late.isEmpty():
-                again = corrected(stored, late, now_ms)
+            first, last = late.agg(F.min(F.to_date("event_time")), F.max(F.to_date("event_time"))).first()
+            stored = sinks.stored_before(batch.sparkSession, paths.enriched, batch_id) if first else None
+            if stored is not None:
+                # Two literal days either side, so that only these partitions are read.
+                reach = dt.timedelta(days=2)
+                nearby = stored.where(F.col("event_day").between(F.lit(first - reach), F.lit(last + reach)))
+                again = corrected(nearby, late, now_ms)
                 rows = rows.select(*ENRICHED_TABLE.names).unionByName(again.select(*ENRICHED_TABLE.names))
             sinks.write_record_table(
                 rows, ENRICHED_TABLE, paths.enriched, "event_day", "event_time", batch_id, order, paths.misfits
@@ -83,6 +92,8 @@ def batch_function(
             sinks.store_alerts(alerts, paths.alerts, batch_id, F.current_timestamp())
             if deliver is not None:
                 sinks.deliver_alerts(alerts, deliver, paths.alert_letters, batch_id)
+            if publish is not None:
+                publish(sinks.keyed_json(rows, "account_id"))
         finally:
             kept.unpersist()
 
@@ -96,11 +107,17 @@ def start(
     root: str,
     source_topic: str = "txn.api",
     deliver: Callable[[DataFrame], None] | None = None,
+    publish: Callable[[DataFrame], None] | None = None,
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Starts the job on a stream of events. State, offsets and tables live under `root`."""
+    """Starts the job on a stream of events. State, offsets and tables live under `root`.
+
+    `deliver` gets each batch's alerts and `publish` its enriched rows as keyed
+    JSON, for instance to write them to a topic; both may see a batch again
+    after a failure.
+    """
     paths = Paths(root)
-    write = sinks.logged("enrichment", paths.failures, batch_function(rules, paths, source_topic, deliver))
+    write = sinks.logged("enrichment", paths.failures, batch_function(rules, paths, source_topic, deliver, publish))
     stream = enriched_stream(events, resolved_subnets)
     return (
         stream.writeStream.outputMode("append")

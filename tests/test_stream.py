@@ -37,9 +37,9 @@ def subnets(spark, small, tmp_path_factory):
     return spark.read.parquet(path)
 
 
-def run(spark, source, subnets, root, deliver=None):
+def run(spark, source, subnets, root, deliver=None, publish=None):
     events = file_stream(spark, source, spark.read.parquet(source).schema, files_per_trigger=1)
-    query = job.start(events, subnets, SCALED_RULES, root, deliver=deliver, trigger={"availableNow": True})
+    query = job.start(events, subnets, SCALED_RULES, root, deliver=deliver, publish=publish, trigger={"availableNow": True})
     assert query.awaitTermination(600)
     assert query.exception() is None
 
@@ -109,7 +109,9 @@ def test_late_row_corrects_stored_rows(spark, small, subnets, folder):
 def test_misfit_row_becomes_a_letter(spark, small, subnets, folder):
     source, root = f"{folder}/in", f"{folder}/out"
     add_file(given.transactions(spark, small).where("event_id < 200"), source)  # some have no device key
-    run(spark, source, subnets, root)
+    published = []
+    run(spark, source, subnets, root, publish=lambda df: published.append(df.select("key").distinct().count()))
+    assert published and published[0] > 1
     misfits = spark.read.parquet(f"{root}/misfits")
     without = given.transactions(spark, small).where("event_id < 200 AND api_key_id IS NULL").count()
     assert misfits.count() == without > 0
