@@ -14,6 +14,7 @@ PARSE_ERROR = "parse_error"
 TOP_ERRORS = 5
 ALERT_RATE_PCT = 5.0
 INSPECT_CAP = 200
+DRY_RUN = "[DRY RUN]"
 
 
 def processing_envelopes(
@@ -172,7 +173,35 @@ def replay_plan(
         raise ValueError("max_messages must be positive")
     rows = dead if error_types is None else dead.where(F.col("error_type").isin(*error_types))
     picked = rows.orderBy("failed_at", "dlq_id").limit(max_messages)
-    return picked.withColumn("target_topic", F.lit("[DRY RUN]" if dry_run else target_topic))
+    return picked.withColumn("target_topic", F.lit(DRY_RUN if dry_run else target_topic))
+
+
+def replay(plan: DataFrame, deliver) -> None:
+    """Sends the planned letters again, one delivery per target; dry-run rows are not sent.
+
+    `deliver(rows, target)` writes one target's rows. A plan names one target.
+    """
+    targets = [row[0] for row in plan.select("target_topic").distinct().limit(2).collect()]
+    for target in targets:
+        if target != DRY_RUN:
+            deliver(plan.where(F.col("target_topic") == target), target)
+
+
+def trend_report(daily: DataFrame, throughput: DataFrame, as_of: Column) -> dict[str, DataFrame]:
+    """The daily trend report: error rate, top errors, windows of the day's errors, topic summaries."""
+    trend = rolling_trend(daily)
+    return {
+        "error_rate": error_rate(daily, throughput, as_of),
+        "top_errors": top_errors(daily, as_of),
+        "windows": trend.where(F.col("day") == as_of),
+        "topics": topic_summary(daily, as_of),
+    }
+
+
+def write_report(report: dict[str, DataFrame], root: str, job_day: str) -> None:
+    """Writes each part for the job's day; running the day again replaces it."""
+    for name, part in report.items():
+        part.write.mode("overwrite").json(f"{root}/{name}/job_day={job_day}")
 
 
 def with_audit(dead: DataFrame, audit: DataFrame) -> DataFrame:

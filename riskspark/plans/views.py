@@ -58,6 +58,18 @@ def between_days(df: DataFrame, time_column: str, start=None, end=None) -> DataF
     return df
 
 
+def lookback(df: DataFrame, time_column: str, now: Column, hours: int) -> DataFrame:
+    """Rows of the last `hours`, up to `now`: 1, 24, 7 * 24 or up to 90 days in the reports."""
+    if not 1 <= hours <= 90 * 24:
+        raise ValueError("a lookback is one hour to ninety days")
+    start = now - F.make_dt_interval(hours=F.lit(hours))
+    column = F.col(time_column)
+    partition = {"event_time": "event_day", "decision_time_ms": "decision_day"}.get(time_column)
+    if partition in df.columns:
+        df = df.where(F.col(partition).between(F.to_date(start), F.to_date(now)))
+    return df.where((column > start) & (column <= now))
+
+
 def current_decisions(decisions: DataFrame, start=None, end=None) -> DataFrame:
     """Latest decision per transaction, with its day."""
     latest = latest_decisions(between_days(decisions, "decision_time_ms", start, end))

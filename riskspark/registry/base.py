@@ -34,7 +34,11 @@ def portable(df: DataFrame) -> DataFrame:
 
 def register(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def wrap(function: Query) -> Query:
-        _QUERIES[name] = lambda spark, folder: portable(function(spark, folder))
+        def query(spark: SparkSession, folder: str) -> DataFrame:
+            spark.conf.set("spark.sql.session.timeZone", "UTC")  # days are UTC days
+            return portable(function(spark, folder))
+
+        _QUERIES[name] = query
         if sql is not None:
             _SQL[name] = sql
         return function

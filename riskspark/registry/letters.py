@@ -93,6 +93,17 @@ def dlq_topic_summary(spark, folder):
     return dl.topic_summary(daily(spark, folder), as_of())
 
 
+@register(
+    "dlq_trend_report_windows",
+    with_ctes(*BASE, TREND.format(x=0))
+    + f"""SELECT day, dlq_topic, error_type, n AS today, CAST(s7 AS BIGINT) AS total_7d, CAST(s30 AS BIGINT) AS total_30d, {num('s7 / 7.0::DOUBLE')} AS avg_7d,
+  CASE WHEN n * 6 > s7 - n THEN 'increasing' WHEN n * 6 < s7 - n THEN 'decreasing' ELSE 'stable' END AS trend FROM t WHERE dn = {AS_OF_NUMBER}""",
+)
+def dlq_trend_report(spark, folder):
+    main = given.transactions(spark, folder).select(F.to_date("event_time").alias("day"))
+    return dl.trend_report(daily(spark, folder), main, as_of())["windows"]
+
+
 @register(
     "dlq_inspect",
     with_ctes(*BASE, "c AS (SELECT * FROM dlq QUALIFY row_number() OVER (PARTITION BY dlq_topic ORDER BY failed_ms, dlq_id) <= 50)")

@@ -169,6 +169,19 @@ def rule_leaderboard(spark, folder):
     return reports.rule_leaderboard(given.decision_table(spark, folder), SCALED_RULES)
 
 
+@register(
+    "rule_triggers_last_day",
+    with_ctes(*BASE, """
+recent AS (SELECT * FROM dec WHERE decided_ms > 1706000000000 - 86400000 AND decided_ms <= 1706000000000
+  QUALIFY row_number() OVER (PARTITION BY transaction_id ORDER BY decided_ms DESC) = 1)""")
+    + """SELECT r AS rule_name, decision, count(*) AS trigger_count FROM recent, unnest(rule_triggers) AS u(r) GROUP BY ALL""",
+)
+def rule_triggers_last_day(spark, folder):
+    now = F.timestamp_millis(F.lit(1706000000000))
+    recent = views.lookback(given.decision_table(spark, folder), "decision_time_ms", now, hours=24)
+    return views.triggered(recent).groupBy("rule_name", "decision").agg(F.count(F.lit(1)).alias("trigger_count"))
+
+
 @register(
     "model_summary",
     with_ctes(*BASE)

@@ -199,6 +199,25 @@ def test_replay_plan(spark):
     assert rows_of(live.select("dlq_id", "target_topic"), "dlq_id") == [("d2", "t"), ("d3", "t")]
     with pytest.raises(ValueError):
         dl.replay_plan(df, "t", 0)
+    sent = []
+    dl.replay(live, lambda rows, target: sent.append((target, rows.count())))
+    dl.replay(dl.replay_plan(df, "t", 1), lambda rows, target: sent.append((target, rows.count())))
+    assert sent == [("t", 2)]
+
+
+def test_trend_report_files(spark, folder):
+    rows = [("2024-01-0%d" % d, "txn.scoring.dlq", "bad", d) for d in range(1, 8)]
+    daily = spark.createDataFrame(rows, "day string, dlq_topic string, error_type string, n bigint").withColumn("day", F.col("day").cast("date"))
+    main = daily.select("day", F.explode(F.sequence(F.lit(1), F.lit(100))))
+    day = F.lit("2024-01-07").cast("date")
+    report = dl.trend_report(daily, main, day)
+    for _ in range(2):
+        dl.write_report(report, folder, "2024-01-07")
+    rate = spark.read.json(f"{folder}/error_rate").first()
+    assert (rate.total_dlq_volume, rate.error_rate_pct, rate.classification) == (7, 7.0, "high")
+    (window,) = spark.read.json(f"{folder}/windows").collect()
+    assert (window.today, window.total_7d, window.trend) == (7, 28, "increasing")
+    assert spark.read.json(f"{folder}/topics").first().dominant_error == "bad"
 
 
 def test_keyed_json(spark):
@@ -206,6 +225,23 @@ def test_keyed_json(spark):
     assert row.key == "a" and json.loads(row.value) == {"id": "a", "v": 1}
 
 
+def test_block_rate_days_without_block(spark):
+    import datetime as dt
+
+    from riskspark.plans.reports import block_rate
+    from riskspark.plans.views import lookback
+
+    rows = [("t1", "ALLOW", 0.0, dt.datetime(2024, 1, 1)), ("t2", "BLOCK", 0.8, dt.datetime(2024, 1, 2))]
+    df = spark.createDataFrame(rows, "transaction_id string, decision string, fraud_score double, decision_time_ms timestamp")
+    assert [r[3] for r in rows_of(block_rate(df), "decision_date")] == [0.0, 1.0]
+    assert block_rate(df, strict_reference=True).count() == 1
+    assert block_rate(df, start="2024-01-02").count() == 1
+    now = F.lit("2024-01-02 00:00:00").cast("timestamp")
+    assert lookback(df, "decision_time_ms", now, 24).count() == 1 and lookback(df, "decision_time_ms", now, 25).count() == 2
+    with pytest.raises(ValueError):
+        lookback(df, "decision_time_ms", now, 91 * 24)
+
+
 def test_snapshot_takes_latest(spark):
     views = {
         "geo": spark.createDataFrame(
