@@ -76,7 +76,7 @@ tx AS (
          CAST(value AS DECIMAL(18,4)) AS amount, event_ms, event_ms + event_id % 40 AS processing_ms,
          CASE event_type WHEN 'click' THEN 'WEB' WHEN 'view' THEN 'MOBILE' WHEN 'purchase' THEN 'POS'
               ELSE 'API' END AS channel,
-         (user_id % 223 + 1) || '.' || (k % 13) || '.' || (event_id % 7 * 10) || '.0' AS caller_ip_subnet,
+         (user_id * 3 % 223 + 1) || '.' || (user_id % 13) || '.' || (k % 4 * 10) || '.0' AS caller_ip_subnet,
          CASE WHEN k % 25 <> 24 THEN 'dev-' || (k % 20) END AS api_key_id,
          event_id, user_id, k, event_type
   FROM ev)"""

@@ -36,7 +36,7 @@ def transactions(spark: SparkSession, folder: str) -> DataFrame:
         "CASE event_type WHEN 'click' THEN 'WEB' WHEN 'view' THEN 'MOBILE' WHEN 'purchase' THEN 'POS' ELSE 'API' END AS channel",
         "'411111' AS card_bin",
         "lpad(cast(event_id % 10000 AS string), 4, '0') AS card_last4",
-        "concat(user_id % 223 + 1, '.', k % 13, '.', event_id % 7 * 10, '.0') AS caller_ip_subnet",
+        "concat(user_id * 3 % 223 + 1, '.', user_id % 13, '.', k % 4 * 10, '.0') AS caller_ip_subnet",
         "CASE WHEN k % 25 <> 24 THEN concat('dev-', k % 20) END AS api_key_id",
         "'txn:write' AS oauth_scope",
         "cast(null AS float) AS geo_lat",
