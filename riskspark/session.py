@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -48,13 +49,11 @@ def ship_package(spark: SparkSession) -> None:
     spark.sparkContext.addPyFile(str(archive))
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint of `df`.
+def shared_folder(spark: SparkSession) -> str:
+    """A folder that driver and executors share, below the cluster's `spark.checkpoint.dir`.
 
-    The folder is the cluster's `spark.checkpoint.dir`. Only where the session
-    names none and runs in local mode is a temporary folder used.
+    Only where the session names none and runs in local mode is a temporary folder used.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         shared = spark.conf.get("spark.checkpoint.dir", None)
@@ -63,4 +62,20 @@ def cut_lineage(df: DataFrame) -> DataFrame:
                 raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
             shared = tempfile.mkdtemp(prefix="spark-", dir=os.environ.get("TMPDIR", "/tmp"))
         context.setCheckpointDir(shared)
+    return context.getCheckpointDir()
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint of `df` in the shared folder."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """`df` written as Parquet to the shared folder and read back: lineage is cut, sizes are known, columns compressed.
+
+    The table lives as long as the checkpoint folder does.
+    """
+    folder = f"{shared_folder(df.sparkSession)}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
