@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskspark.llm import packing, simhash, substring_dedup
+from riskspark.llm import decontaminate, packing, simhash, substring_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -60,3 +60,8 @@ def op6_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query("op3_best_fit_packing")
 def op3_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"), capacity=1024, end_id=2)
+
+
+@query("op1_benchmark_decontamination")
+def op1_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.contaminations(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
