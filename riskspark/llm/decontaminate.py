@@ -51,56 +51,55 @@ HIT = "place int, hash bigint, template string, slots array<string>"
 
 
 class Lexicon:
-    """Number of each distinct raw word, and by number what the template needs to know; bounded."""
+    """Number of each distinct raw word, and by number what a template needs to know of it; bounded."""
 
-    def __init__(self, limit: int = 200_000):
-        self.limit, self.age = limit, 0
-        self.reset()
-
-    def reset(self) -> None:
-        self.age += 1
+    def __init__(self, limit: int = 400_000):
+        self.limit = limit
         self.numbers: dict[bytes, int] = {}
         self.cores: list[str] = []
-        self.rows: list[tuple] = []
+        self.resize(1024)
+
+    def resize(self, size: int) -> None:
+        old = getattr(self, "marks", None)
+        self.marks = np.zeros((4, size), np.int8)  # kind, titled, unit, ends a sentence
+        self.values = np.zeros(size, np.uint64) if old is None else np.resize(self.values, size)
+        if old is not None:
+            self.marks[:, : old.shape[1]] = old
 
     def add(self, raw: bytes) -> int:
         word = raw.decode()
         core = word.strip(OUTER)
         lower = core.lower()
-        titled = core[:1].isupper() and core[1:].islower()
         if not core:
             kind = NONE
-        elif NUMBER.fullmatch(core) or lower in NUMBER_WORDS:
+        elif not core.isalpha() and NUMBER.fullmatch(core) or lower in NUMBER_WORDS:
             kind = NUM
         else:
             kind = LITERAL
-        ends = word.rstrip("\"')]}»”’")[-1:] in (".", "!", "?", ":") and kind != NUM or word[-1:] in (".", "!", "?")
-        number = self.numbers[raw] = len(self.cores)
+        ends = word.rstrip("\"')]}»”’")[-1:] in (".", "!", "?", ":")
+        number = len(self.cores)
+        if number == len(self.values):
+            self.resize(2 * number)
+        self.marks[:, number] = (kind, core != lower and core.istitle(), lower in UNIT_WORDS, ends)
+        self.values[number] = xxhash.xxh3_64_intdigest(lower)
         self.cores.append(lower)
-        self.rows.append((kind, titled, lower in UNIT_WORDS, ends, xxhash.xxh3_64_intdigest(lower)))
+        self.numbers[raw] = number
         return number
 
     def of(self, words: list[bytes]) -> np.ndarray:
         if len(self.cores) >= self.limit:
-            self.reset()
+            self.numbers, self.cores = {}, []
         get, add = self.numbers.get, self.add
         return np.fromiter((add(w) if (n := get(w)) is None else n for w in words), np.int64, len(words))
 
 
 class Templates:
-    """Template words of texts; remembers the properties of words as arrays that grow with the lexicon."""
+    """Template words of texts."""
 
     MARKS = {kind: np.uint64(xxhash.xxh3_64_intdigest(text)) for kind, text in PLACEHOLDERS.items()}
 
     def __init__(self):
-        self.lexicon, self.known, self.read = Lexicon(), None, (0, 0)
-
-    def properties(self) -> tuple[np.ndarray, ...]:
-        if self.known is None or self.read != (self.lexicon.age, len(self.lexicon.rows)):
-            self.read = (self.lexicon.age, len(self.lexicon.rows))
-            kind, titled, unit, ends, value = zip(*self.lexicon.rows, strict=True)
-            self.known = (np.array(kind, np.int8), np.array(titled), np.array(unit), np.array(ends), np.array(value, np.uint64))
-        return self.known
+        self.lexicon = Lexicon()
 
     def of(self, text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Kinds, hashes and lexicon numbers of the template words of `text`."""
@@ -109,13 +108,14 @@ class Templates:
         numbers = self.lexicon.of(text.split())
         if not len(numbers):
             return np.zeros(0, np.int8), np.zeros(0, np.uint64), numbers
-        kinds, titled, unit, ends, value = (p[numbers] for p in self.properties())
-        opens = np.append(True, ends[:-1])
+        kinds, titled, unit, ends = self.lexicon.marks[:, numbers]
+        value = self.lexicon.values[numbers]
+        opens = np.append(1, ends[:-1])
         kept = kinds != NONE
         kinds, titled, unit, value, opens, numbers = kinds[kept], titled[kept], unit[kept], value[kept], opens[kept], numbers[kept]
         if len(kinds):
-            kinds[unit & np.append(False, kinds[:-1] == NUM) & (kinds == LITERAL)] = UNIT
-            kinds[titled & ~opens & (kinds == LITERAL)] = NAME
+            kinds[(unit == 1) & np.append(False, kinds[:-1] == NUM) & (kinds == LITERAL)] = UNIT
+            kinds[(titled == 1) & (opens == 0) & (kinds == LITERAL)] = NAME
             for kind, mark in self.MARKS.items():
                 value[kinds == kind] = mark
         return kinds, value, numbers
