@@ -22,11 +22,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskspark.llm.words import Powers, utf8
+from riskspark.llm.words import Powers, mixed, utf8
 from riskspark.session import stored
 
 MAP_BITS = 24
@@ -39,118 +38,139 @@ UNITS = (
 )
 NUMBERS = "zero two three four five six seven eight nine ten eleven twelve thirteen fifteen twenty thirty forty fifty sixty hundred thousand million"
 
-UNIT_WORDS = frozenset(UNITS.split())
-NUMBER_WORDS = frozenset(NUMBERS.split())
-NUMBER = re.compile(r"[+-]?[$€£]?\d[\d.,:/]*")
-GLUED = re.compile(rb"(?<=\d)(?=(?:%|[A-Za-z]{1,4})(?![A-Za-z\d]))")
-LITERAL, NUM, NAME, UNIT, NONE = range(5)
+LITERAL, NUM, NAME, UNIT = range(4)
 PLACEHOLDERS = {NUM: "<num>", NAME: "<name>", UNIT: "<unit>"}
-OUTER = "!\"#&'()*+,-./:;<=>?@[\\]^_`{|}~"
+OUTER = b"!\"#&'()*+,-./:;<=>?@[\\]^_`{|}~"
+MIXED = re.compile(rb"[0-9][%A-Za-z]")
+GLUED = re.compile(rb"(?<=\d)(?=(?:%|[A-Za-z]{1,4})(?![A-Za-z\d]))")
 
 HIT = "place int, hash bigint, template string, slots array<string>"
+CHUNK_BYTES = 1 << 20
+
+
+def marked(members: bytes) -> np.ndarray:
+    table = np.zeros(256, np.int32)
+    table[list(members)] = 1
+    return table
+
+
+SPACE, OUTSIDE, STOP, DIGITS = marked(b" \t\n\x0b\x0c\r"), marked(OUTER + b" \t\n\x0b\x0c\r"), marked(b".!?:"), marked(b"0123456789")
+NUMERAL = marked("0123456789.,:/$€£".encode())
+#: Bytes of the character that a byte begins.
+CHARACTER = np.array([1] * 192 + [2] * 32 + [3] * 16 + [4] * 16)
+BYTE_VALUES = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
 
 
-class Lexicon:
-    """Number of each distinct raw word, and by number what a template needs to know of it; bounded."""
-
-    def __init__(self, limit: int = 400_000):
-        self.limit = limit
-        self.numbers: dict[bytes, int] = {}
-        self.cores: list[str] = []
-        self.resize(1024)
-
-    def resize(self, size: int) -> None:
-        old = getattr(self, "marks", None)
-        self.marks = np.zeros((4, size), np.int8)  # kind, titled, unit, ends a sentence
-        self.values = np.zeros(size, np.uint64) if old is None else np.resize(self.values, size)
-        if old is not None:
-            self.marks[:, : old.shape[1]] = old
-
-    def add(self, raw: bytes) -> int:
-        word = raw.decode()
-        core = word.strip(OUTER)
-        lower = core.lower()
-        if not core:
-            kind = NONE
-        elif not core.isalpha() and NUMBER.fullmatch(core) or lower in NUMBER_WORDS:
-            kind = NUM
-        else:
-            kind = LITERAL
-        ends = word.rstrip("\"')]}»”’")[-1:] in (".", "!", "?", ":")
-        number = len(self.cores)
-        if number == len(self.values):
-            self.resize(2 * number)
-        self.marks[:, number] = (kind, core != lower and core.istitle(), lower in UNIT_WORDS, ends)
-        self.values[number] = xxhash.xxh3_64_intdigest(lower)
-        self.cores.append(lower)
-        self.numbers[raw] = number
-        return number
-
-    def of(self, words: list[bytes]) -> np.ndarray:
-        if len(self.cores) >= self.limit:
-            self.numbers, self.cores = {}, []
-        get, add = self.numbers.get, self.add
-        return np.fromiter((add(w) if (n := get(w)) is None else n for w in words), np.int64, len(words))
+def lowered(text: bytes) -> bytes:
+    """Lower case of the same number of bytes; the few characters whose case changes their length stay."""
+    word = text.decode()
+    lower = word.lower().encode()
+    if len(lower) == len(text):
+        return lower
+    return b"".join(low if len(low := c.lower().encode()) == len(raw := c.encode()) else raw for c in word)
+
+
+def among(values: np.ndarray, few: np.ndarray) -> np.ndarray:
+    """Whether each value is in the sorted `few`."""
+    return few[np.searchsorted(few, values) % len(few)] == values
 
 
 class Templates:
-    """Template words of texts."""
-
-    MARKS = {kind: np.uint64(xxhash.xxh3_64_intdigest(text)) for kind, text in PLACEHOLDERS.items()}
-
-    def __init__(self):
-        self.lexicon = Lexicon()
-
-    def of(self, text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Kinds, hashes and lexicon numbers of the template words of `text`."""
-        if any(digit in text for digit in b"0123456789"):
-            text = GLUED.sub(b" ", text)
-        numbers = self.lexicon.of(text.split())
-        if not len(numbers):
-            return np.zeros(0, np.int8), np.zeros(0, np.uint64), numbers
-        kinds, titled, unit, ends = self.lexicon.marks[:, numbers]
-        value = self.lexicon.values[numbers]
-        opens = np.append(1, ends[:-1])
-        kept = kinds != NONE
-        kinds, titled, unit, value, opens, numbers = kinds[kept], titled[kept], unit[kept], value[kept], opens[kept], numbers[kept]
-        if len(kinds):
-            kinds[(unit == 1) & np.append(False, kinds[:-1] == NUM) & (kinds == LITERAL)] = UNIT
-            kinds[(titled == 1) & (opens == 0) & (kinds == LITERAL)] = NAME
-            for kind, mark in self.MARKS.items():
-                value[kinds == kind] = mark
-        return kinds, value, numbers
-
-    def window(self, kinds: np.ndarray, numbers: np.ndarray) -> tuple[str, list[str]]:
-        words = [self.lexicon.cores[n] for n in numbers]
+    """Template words of some texts, as flat arrays: document, kind, hash, and where the lower-cased word lies."""
+
+    powers = Powers()
+
+    def __init__(self, texts: list[bytes]):
+        texts = [GLUED.sub(b" ", text) if MIXED.search(text) else text for text in texts]
+        raw = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
+        self.lower = b"\n".join(map(lowered, texts)) + b"\n"
+        low = np.frombuffer(self.lower, np.uint8)
+        white = SPACE[raw]
+        start = np.flatnonzero(np.diff(white, prepend=1) == -1)
+        end = np.flatnonzero(np.diff(white, prepend=1) == 1)
+        end = end[len(end) - len(start) :]
+        inner = np.flatnonzero(OUTSIDE[raw] == 0)
+        first, last = np.searchsorted(inner, start), np.searchsorted(inner, end) - 1
+        stops = np.append(0, np.cumsum(STOP[raw]))
+        worded = first <= last
+        body_end = np.where(worded, inner[np.maximum(last, 0)] + 1 if len(inner) else 0, start)
+        ends = stops[end] > stops[body_end]
+        text_starts = np.cumsum([0, *(len(t) + 1 for t in texts)])
+        doc = np.searchsorted(text_starts, start, "right") - 1
+        opens = np.append(True, ends[:-1] | (np.diff(doc) != 0)) if len(doc) else np.zeros(0, bool)
+
+        self.start, self.end, self.doc, opens = inner[first[worded]], body_end[worded], doc[worded], opens[worded]
+        self.value = self.powers_of(low, self.start, self.end)
+        cased = np.append(0, np.cumsum(raw != low, dtype=np.int32))
+        letter = np.minimum(self.start + CHARACTER[raw[self.start]], self.end)
+        titled = (cased[letter] > cased[self.start]) & (cased[self.end] == cased[letter]) & (letter < self.end)
+        digits, numeral = (np.append(0, np.cumsum(table[raw], dtype=np.int32)) for table in (DIGITS, NUMERAL))
+        number = (digits[self.end] > digits[self.start]) & (numeral[self.end] - numeral[self.start] == self.end - self.start)
+        number |= among(self.value, NUMBER_VALUES)
+        unit = among(self.value, UNIT_VALUES) & np.append(False, number[:-1])[: len(number)] & ~number
+        unit &= np.append(False, np.diff(self.doc) == 0)[: len(unit)]
+        self.kind = np.select([number, unit, titled & ~opens], [NUM, UNIT, NAME], LITERAL).astype(np.int8)
+        for kind, mark in MARKS.items():
+            self.value[self.kind == kind] = mark
+
+    @classmethod
+    def powers_of(cls, low: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return cls.powers.spans(BYTE_VALUES[low], start, end)
+
+    def windows(self, width: int) -> tuple[np.ndarray, np.ndarray]:
+        """First word and hash of the windows within one text that have at least as many words as placeholders."""
+        hashes = self.powers.windows(self.value, width)
+        slots = np.append(0, np.cumsum(self.kind != LITERAL))
+        at = np.flatnonzero((2 * (slots[width:] - slots[:-width]) <= width) & (self.doc[width - 1 :] == self.doc[: len(hashes)])) if len(hashes) else np.zeros(0, np.int64)
+        return at, hashes[at]
+
+    def places(self, at: np.ndarray) -> np.ndarray:
+        """Number within its text of each word in `at`."""
+        return at - np.searchsorted(self.doc, self.doc[at])
+
+    def window(self, at: int, width: int) -> tuple[str, list[str]]:
+        words = [self.lower[s:e].decode() for s, e in zip(self.start[at : at + width], self.end[at : at + width], strict=True)]
+        kinds = self.kind[at : at + width]
         return " ".join(PLACEHOLDERS.get(k, w) for k, w in zip(kinds, words, strict=True)), [w for k, w in zip(kinds, words, strict=True) if k != LITERAL]
 
 
-def windows_of(templates: Templates, powers: Powers, text: bytes, width: int):
-    """Kinds, numbers, and for windows with at least as many words as placeholders: places and hashes."""
-    kinds, values, numbers = templates.of(text)
-    hashes = powers.windows(values, width)
-    slots = np.append(0, np.cumsum(kinds != LITERAL))
-    plain = 2 * (slots[width:] - slots[:-width]) <= width if len(hashes) else np.zeros(0, bool)
-    places = np.flatnonzero(plain)
-    return kinds, numbers, places, hashes[places]
+def values_of(words: str) -> np.ndarray:
+    text = words.encode()
+    ends = np.cumsum([len(w) + 1 for w in text.split()]) - 1
+    return Templates.powers_of(np.frombuffer(text, np.uint8), np.append(0, ends[:-1] + 1), ends)
+
+
+NUMBER_VALUES, UNIT_VALUES = np.sort(values_of(NUMBERS)), np.sort(values_of(UNITS))
+MARKS = {kind: values_of(text)[0] for kind, text in PLACEHOLDERS.items()}
+
+
+def chunks(batch: pa.RecordBatch, key: str) -> Iterator[tuple[list, Templates]]:
+    """Keys and templates of the rows, some texts at a time."""
+    keys, texts, size = [], [], 0
+    for value, text in zip(batch.column(key).to_pylist(), utf8(batch.column("text")), strict=True):
+        keys.append(value)
+        texts.append(text)
+        size += len(text)
+        if size >= CHUNK_BYTES:
+            yield keys, Templates(texts)
+            keys, texts, size = [], [], 0
+    if keys:
+        yield keys, Templates(texts)
 
 
 def item_windows(benchmark: DataFrame, width: int, least: int) -> DataFrame:
     """item_id, n_words (of the template), width, place, hash, template, slots of every window of every item."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers = Powers()
         for batch in batches:
             rows = []
             for item_id, text in zip(batch.column("item_id").to_pylist(), utf8(batch.column("text")), strict=True):
-                templates = Templates()
-                size = len(templates.of(text)[0])
+                template = Templates([text])
+                size = len(template.kind)
                 wide = min(width, size)
-                if wide < least:
-                    continue
-                kinds, numbers, places, hashes = windows_of(templates, powers, text, wide)
-                for place, value in zip(places.tolist(), hashes.view(np.int64).tolist(), strict=True):
-                    rows.append((item_id, size, wide, place, value, *templates.window(kinds[place : place + wide], numbers[place : place + wide])))
+                if wide >= least:
+                    for at, value in zip(*template.windows(wide), strict=True):
+                        rows.append((item_id, size, wide, int(at), int(value.view(np.int64)), *template.window(at, wide)))
             columns = list(zip(*rows, strict=True)) or [()] * 7
             types = [pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.string(), pa.list_(pa.string())]
             names = ["item_id", "n_words", "width", "place", "hash", "template", "slots"]
@@ -176,18 +196,18 @@ def document_windows(docs: DataFrame, widths: list[int], bits: bytes) -> DataFra
     shared = spark.sparkContext.broadcast(bits)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers, templates = Powers(), Templates()
         words = np.frombuffer(shared.value, np.uint64)
         mask = np.uint64(len(words) * 64 - 1)
         for batch in batches:
             rows = []
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), utf8(batch.column("text")), strict=True):
+            for doc_ids, template in chunks(batch, "doc_id"):
                 for width in widths:
-                    kinds, numbers, places, hashes = windows_of(templates, powers, text, width)
+                    at, hashes = template.windows(width)
                     slot = hashes & mask
                     hit = (words[slot >> np.uint64(6)] >> (slot & np.uint64(63))) & np.uint64(1) == 1
-                    for place, value in zip(places[hit].tolist(), hashes[hit].view(np.int64).tolist(), strict=True):
-                        rows.append((doc_id, width, place, value, *templates.window(kinds[place : place + width], numbers[place : place + width])))
+                    at, hashes = at[hit], hashes[hit].view(np.int64)
+                    for first, place, value in zip(at.tolist(), template.places(at).tolist(), hashes.tolist(), strict=True):
+                        rows.append((doc_ids[template.doc[first]], width, place, value, *template.window(first, width)))
             columns = list(zip(*rows, strict=True)) or [()] * 6
             types = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.string(), pa.list_(pa.string())]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["doc_id", "width", "place", "hash", "template", "slots"])
