@@ -45,7 +45,7 @@ MIXED = re.compile(rb"[0-9][%A-Za-z]")
 GLUED = re.compile(rb"(?<=\d)(?=(?:%|[A-Za-z]{1,4})(?![A-Za-z\d]))")
 
 HIT = "place int, hash bigint, template string, slots array<string>"
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 17
 
 
 def marked(members: bytes) -> np.ndarray:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskspark.llm import decontaminate, packing, simhash, substring_dedup
+from riskspark.llm import decontaminate, packing, quality_model, simhash, substring_dedup, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -65,3 +65,15 @@ def op3_best_fit_packing(spark: SparkSession, folder: str) -> DataFrame:
 @query("op1_benchmark_decontamination")
 def op1_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     return decontaminate.contaminations(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op8_toxicity")
+def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, folder, "labels")), threshold=0.5)
+
+
+@query("op10_quality_classifier")
+def op10_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return quality_model.score(docs, quality_model.fit(docs, table(spark, folder, "labels")), threshold=0.3)
