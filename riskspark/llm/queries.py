@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskspark.llm import decontaminate, packing, quality_model, simhash, substring_dedup, toxicity
+from riskspark.llm import decontaminate, licenses, packing, quality_model, simhash, substring_dedup, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -77,3 +77,31 @@ def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 def op10_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return quality_model.score(docs, quality_model.fit(docs, table(spark, folder, "labels")), threshold=0.3)
+
+
+def _license_sql() -> str:
+    notices = ", ".join(f"('{label}', '{text}')" for label, text in licenses.NOTICES)
+    cut = "regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+    return f"""
+WITH notices AS (SELECT label, list_distinct({cut.format("text")}) AS tokens FROM (VALUES {notices}) AS v(label, text)),
+w AS (SELECT doc_id, {cut.format("coalesce(text, '')")} AS words FROM documents),
+at AS (SELECT doc_id, words, i FROM w, unnest(generate_series(1, len(words))) AS t(i) WHERE words[i] = 'license'),
+base AS (
+  SELECT doc_id, i - 2 AS start, CASE WHEN words[i - 1] = 'mit' THEN 'mit' ELSE 'apache' END AS label FROM at WHERE i > 1 AND words[i - 1] IN ('mit', 'apache')
+  UNION ALL SELECT doc_id, i - 3, 'gpl' FROM at WHERE i > 2 AND words[i - 1] = 'public' AND words[i - 2] = 'general'),
+lines AS (SELECT DISTINCT doc_id, list_distinct({cut.format("line")}) AS words FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents)),
+blocks AS (
+  SELECT doc_id, label, len(list_intersect(words, tokens)) / len(tokens) AS share FROM lines, notices
+  WHERE len(list_intersect(words, tokens)) >= ceil(0.8 * len(tokens) - 1e-9)),
+every AS (SELECT doc_id, label FROM base UNION SELECT doc_id, label FROM blocks),
+b AS (SELECT doc_id, count(*) AS n, min(start) AS lo, max(start) AS hi, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM base GROUP BY doc_id),
+e AS (SELECT doc_id, string_agg(label, ',' ORDER BY label) AS labels FROM every GROUP BY doc_id),
+s AS (SELECT doc_id, max(share) AS share FROM blocks GROUP BY doc_id)
+SELECT w.doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(b.n, 0) AS n_base, CAST(b.lo AS BIGINT) AS first_word, CAST(b.hi AS BIGINT) AS last_word,
+       coalesce(b.labels, '') AS base_labels, coalesce(e.labels, '') AS labels, CASE WHEN b.n > 0 THEN 1.0::DOUBLE ELSE coalesce(s.share, 0) END AS score
+FROM w LEFT JOIN b USING (doc_id) LEFT JOIN e USING (doc_id) LEFT JOIN s USING (doc_id)"""
+
+
+@query("op5_license_scan", _license_sql())
+def op5_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.license_scan(table(spark, folder, "documents")).drop("blocks")
