@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskspark.llm import decontaminate, licenses, packing, quality_model, simhash, substring_dedup, toxicity
+from riskspark.llm import decontaminate, licenses, line_dedup, packing, pii, quality_model, quality_rules, simhash, substring_dedup, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -85,10 +85,10 @@ def _license_sql() -> str:
     return f"""
 WITH notices AS (SELECT label, list_distinct({cut.format("text")}) AS tokens FROM (VALUES {notices}) AS v(label, text)),
 w AS (SELECT doc_id, {cut.format("coalesce(text, '')")} AS words FROM documents),
-at AS (SELECT doc_id, words, i FROM w, unnest(generate_series(1, len(words))) AS t(i) WHERE words[i] = 'license'),
+spots AS (SELECT doc_id, words, i FROM w, unnest(generate_series(1, len(words))) AS t(i) WHERE words[i] = 'license'),
 base AS (
-  SELECT doc_id, i - 2 AS start, CASE WHEN words[i - 1] = 'mit' THEN 'mit' ELSE 'apache' END AS label FROM at WHERE i > 1 AND words[i - 1] IN ('mit', 'apache')
-  UNION ALL SELECT doc_id, i - 3, 'gpl' FROM at WHERE i > 2 AND words[i - 1] = 'public' AND words[i - 2] = 'general'),
+  SELECT doc_id, i - 2 AS start, CASE WHEN words[i - 1] = 'mit' THEN 'mit' ELSE 'apache' END AS label FROM spots WHERE i > 1 AND words[i - 1] IN ('mit', 'apache')
+  UNION ALL SELECT doc_id, i - 3, 'gpl' FROM spots WHERE i > 2 AND words[i - 1] = 'public' AND words[i - 2] = 'general'),
 lines AS (SELECT DISTINCT doc_id, list_distinct({cut.format("line")}) AS words FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents)),
 blocks AS (
   SELECT doc_id, label, len(list_intersect(words, tokens)) / len(tokens) AS share FROM lines, notices
@@ -105,3 +105,19 @@ FROM w LEFT JOIN b USING (doc_id) LEFT JOIN e USING (doc_id) LEFT JOIN s USING (
 @query("op5_license_scan", _license_sql())
 def op5_license_scan(spark: SparkSession, folder: str) -> DataFrame:
     return licenses.license_scan(table(spark, folder, "documents")).drop("blocks")
+
+
+@query("op2_line_dedup")
+def op2_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return line_dedup.line_report(table(spark, folder, "documents"))
+
+
+@query("op7_pii")
+def op7_pii(spark: SparkSession, folder: str) -> DataFrame:
+    return pii.pii_report(table(spark, folder, "documents"))
+
+
+@query("op4_quality_rules")
+def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    return quality_rules.judge(docs, quality_rules.learn(docs, table(spark, folder, "labels")))
