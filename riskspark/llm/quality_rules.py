@@ -155,9 +155,9 @@ def prune(sample: DataFrame, rule: Rule) -> tuple[Rule, int, int]:
 
 def learn(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int = 20_000, precision: float = 0.95, most_rules: int = 12, most_conditions: int = 3, least: int = 5) -> list[Rule]:
     """Rules for documents labelled 0, in order, from at most `sample` labelled documents that pass the base rules."""
-    rows = with_statistics(training_texts(docs, labels, label, sample)).filter("NOT base_failed")
-    rows = rows.select((1 - F.col("label")).alias("bad"), (F.xxhash64(F.lit(7), "doc_id") % 3 != 0).alias("grow"), *FEATURES)
-    rows = stored(rows)
+    rows = with_statistics(training_texts(docs, labels, label, sample))
+    rows = stored(rows.select((1 - F.col("label")).alias("bad"), (F.xxhash64(F.lit(7), "doc_id") % 3 != 0).alias("grow"), "base_failed", *FEATURES))
+    rows = rows.filter("NOT base_failed").drop("base_failed")
     cuts = cuts_of(rows)
     binned = [F.size(F.filter(F.array(*map(F.lit, cuts[f])).cast("array<double>"), at_most(f))) for f in FEATURES]
     left = stored(rows.select("*", *(column.alias(f"bin_{f}") for column, f in zip(binned, FEATURES, strict=True))))
@@ -200,5 +200,7 @@ def judge(docs: DataFrame, rules: list[Rule]) -> DataFrame:
 def keep_good(docs: DataFrame, rules: list[Rule]) -> DataFrame:
     """`docs`, all columns, without what the base rules or the list reject."""
     rows = with_statistics(docs.select(F.struct("*").alias("row"), F.col("text").alias("text")))
-    rows = rows.filter(~F.col("base_failed")).filter(verdict(rules).isNull())
+    # The optimizer would copy the statistics into a filter that stands right above them; it leaves one on a running number in place.
+    rows = rows.withColumn("number", F.monotonically_increasing_id())
+    rows = rows.filter((F.col("number") >= 0) & ~F.col("base_failed") & verdict(rules).isNull())
     return rows.select(*(F.col("row").getField(c).alias(c) for c in docs.columns))
