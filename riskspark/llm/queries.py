@@ -54,6 +54,7 @@ def op9_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query("op6_simhash_near_dedup")
 def op6_simhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, folder, "documents"), width=4, budget=4)
+    found = found.select("doc_id", "fingerprint", "component_id")
     return found.withColumn("fingerprint", F.lower(F.lpad(F.hex("fingerprint"), 16, "0")))
 
 

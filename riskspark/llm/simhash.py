@@ -53,15 +53,15 @@ def fingerprint(words: list[bytes], width: int) -> int:
 
 
 def fingerprints(docs: DataFrame, width: int = 5) -> DataFrame:
-    """doc_id and fingerprint (bigint) of every row; words are cut at ASCII white space, A-Z lower-cased."""
+    """doc_id, text_key (hash of the text) and fingerprint (bigint) of every row; words are cut at ASCII white space, A-Z lower-cased."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [fingerprint(text.lower().split(), width) for text in utf8(batch.column("text"))]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, pa.int64())], names=["doc_id", "fingerprint"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_key"), pa.array(found, pa.int64())], names=["doc_id", "text_key", "fingerprint"])
 
-    texts = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
-    return texts.mapInArrow(of, "doc_id bigint, fingerprint bigint")
+    texts = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"), F.xxhash64(F.col("text").cast("string")).alias("text_key"))
+    return texts.mapInArrow(of, "doc_id bigint, text_key bigint, fingerprint bigint")
 
 
 def signed(mask: int) -> int:
@@ -233,11 +233,23 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, width: int = 5, budget: int = 4, most: int = 200_000) -> DataFrame:
-    """Per input row: doc_id, fingerprint (bigint), component_id (smallest doc_id reachable over links)."""
+    """Per input row: doc_id, text_key, fingerprint (bigint), component_id (smallest doc_id reachable over links)."""
     prints = stored(fingerprints(docs, width))
     nodes = stored(prints.groupBy("fingerprint").agg(F.min("doc_id").alias("least_id")))
     roots = components(links(nodes.select("fingerprint"), budget, most))
     named = nodes.join(roots, nodes.fingerprint == roots.node, "left").select("fingerprint", "least_id", F.coalesce("root", "fingerprint").alias("root"))
     names = named.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    named = named.join(names, "root").select("fingerprint", "component_id")
-    return prints.join(named, "fingerprint").select("doc_id", "fingerprint", "component_id")
+    named = named.join(names, "root").select("fingerprint", "root", "component_id")
+    return prints.join(named, "fingerprint").select("doc_id", "text_key", "fingerprint", "root", "component_id")
+
+
+def one_per_group(docs: DataFrame, width: int = 5, budget: int = 4, most: int = 200_000) -> DataFrame:
+    """`docs`, all columns, with one row of each component: the one with the smallest doc_id, of equals the smallest text_key.
+
+    A null doc_id is larger than any other.
+    """
+    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key")
+    kept = near_duplicates(docs, width, budget, most).groupBy("root").agg(F.min(place).alias("p")).select(F.col("p.doc_id").alias("kept_id"), F.col("p.text_key").alias("kept_key"))
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("bigint").alias("row_id"), F.xxhash64(F.col("text").cast("string")).alias("row_key"))
+    rows = rows.join(kept, (F.col("row_key") == F.col("kept_key")) & F.col("row_id").eqNullSafe(F.col("kept_id")), "left_semi")
+    return rows.dropDuplicates(["row_id", "row_key"]).select(*(F.col("row").getField(c).alias(c) for c in docs.columns))
