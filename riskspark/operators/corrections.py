@@ -23,7 +23,7 @@ def corrected(stored: DataFrame, late: DataFrame, corrected_at_ms) -> DataFrame:
     spans = late.groupBy("account_id").agg(
         F.min(F.unix_millis("event_time")).alias("_low"), F.max(F.unix_millis("event_time")).alias("_high")
     )
-    versions = latest_enriched(stored)
+    versions = latest_enriched(stored.join(spans.select("account_id"), "account_id", "left_semi").select(*stored.columns))
     near = versions.withColumn("_ms", F.unix_millis("event_time")).join(spans, "account_id").where(
         F.col("_ms").between(F.col("_low") - REACH_MS, F.col("_high") + REACH_MS)
     )

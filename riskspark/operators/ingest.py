@@ -55,10 +55,11 @@ def missing_fields(df: DataFrame) -> Column:
 
 def value_errors(now_ms: Column) -> Column:
     """Messages for values that are present but wrong."""
-    number = F.coalesce(F.col("amount").cast("string"), F.lit("0")).try_cast("double")
+    text = F.coalesce(F.col("amount").cast("string"), F.lit("0"))
+    number, stored = text.try_cast("double"), text.try_cast("double").try_cast("decimal(18,4)")  # NaN, infinite and too large amounts cannot be stored
     skew = F.abs(now_ms - F.col("event_time"))
     checks = [
-        F.when(number.isNull(), ERRORS["amount_type"]).when(number <= 0, ERRORS["amount_sign"]),
+        F.when(stored.isNull(), ERRORS["amount_type"]).when(number <= 0, ERRORS["amount_sign"]),
         F.when(F.coalesce(F.length("currency"), F.lit(0)) != 3, ERRORS["currency"]),
         F.when(~F.coalesce(F.col("channel").isin(*CHANNELS), F.lit(False)), ERRORS["channel"]),
         F.when(is_blank(F.col("api_key_id")), ERRORS["api_key_id"]),

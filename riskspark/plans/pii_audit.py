@@ -37,19 +37,12 @@ def _hits(column: Column) -> Column:
     return F.array_compact(found)
 
 
-def content_findings(
-    table_name: str, df: DataFrame, columns: list[str] | None = None, sample_fraction: float | None = None
-) -> DataFrame:
-    """Distinct (field, pattern, content hash) with the number of matching rows.
-
-    Every text column is searched in full. `sample_fraction` is for the
-    statistical scan of very large tables and is off by default.
-    """
+def content_findings(table_name: str, df: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """Distinct (field, pattern, content hash) with the number of matching rows. Every text column is searched in full."""
     texts = columns or [f.name for f in df.schema if isinstance(f.dataType, T.StringType)]
-    source = df if sample_fraction is None else df.sample(fraction=sample_fraction, seed=7)
     cells = F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).alias("text")) for c in texts])
     hits = (
-        source.select(F.explode(cells).alias("cell"))
+        df.select(F.explode(cells).alias("cell"))
         .where(F.col("cell.text").isNotNull())
         .select("cell.field", "cell.text", _hits(F.col("cell.text")).alias("patterns"))
         .where(F.size("patterns") > 0)

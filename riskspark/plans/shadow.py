@@ -51,8 +51,8 @@ def shadow_report(decisions: DataFrame, since_ms: int, until_ms: int) -> DataFra
     few = F.col("shadow_triggers_24h") < MIN_TRIGGERS
     reason = F.when(
         few,
-        F.concat(F.lit("Insufficient data ("), F.col("shadow_triggers_24h"), F.lit(f" < {MIN_TRIGGERS})")),
-    ).when(F.col("estimated_fp_rate") >= MAX_SHADOW_FP_RATE, "FP rate too high")
+        F.concat(F.lit("few_triggers:"), F.col("shadow_triggers_24h")),
+    ).when(F.col("estimated_fp_rate") >= MAX_SHADOW_FP_RATE, "false_positive_rate")
     rated = counted.withColumn("estimated_fp_rate", rate)
     return rated.select(
         "*", reason.isNull().alias("can_promote"), F.coalesce(reason, F.lit("")).alias("reason")

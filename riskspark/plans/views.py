@@ -58,22 +58,39 @@ def between_days(df: DataFrame, time_column: str, start=None, end=None) -> DataF
     return df
 
 
-def lookback(df: DataFrame, time_column: str, now: Column, hours: int) -> DataFrame:
-    """Rows of the last `hours`, up to `now`: 1, 24, 7 * 24 or up to 90 days in the reports."""
+def since(df: DataFrame, time_column: str, now: Column, hours: int) -> DataFrame:
+    """Rows later than `hours` before `now`."""
     if not 1 <= hours <= 90 * 24:
         raise ValueError("a lookback is one hour to ninety days")
     start = now - F.make_dt_interval(hours=F.lit(hours))
-    column = F.col(time_column)
     partition = {"event_time": "event_day", "decision_time_ms": "decision_day"}.get(time_column)
     if partition in df.columns:
-        df = df.where(F.col(partition).between(F.to_date(start), F.to_date(now)))
-    return df.where((column > start) & (column <= now))
+        df = df.where(F.col(partition) >= F.to_date(start))
+    return df.where(F.col(time_column) > start)
+
+
+def lookback(df: DataFrame, time_column: str, now: Column, hours: int) -> DataFrame:
+    """Rows of the last `hours`, up to `now`: 1, 24, 7 * 24 or up to 90 days in the reports.
+
+    For rows that are final; versions of a row are deduplicated before the upper bound, see `recent_decisions`.
+    """
+    return since(df, time_column, now, hours).where(F.col(time_column) <= now)
 
 
 def current_decisions(decisions: DataFrame, start=None, end=None) -> DataFrame:
-    """Latest decision per transaction, with its day."""
-    latest = latest_decisions(between_days(decisions, "decision_time_ms", start, end))
-    return latest.withColumn(DECISION_DAY, F.to_date("decision_time_ms"))
+    """Latest decision per transaction, with its day, where that day is in the window.
+
+    Rows before `start` are cut before deduplication, since an older row never wins; rows after `end` only after it,
+    so that a transaction decided again later is not reported by what it was.
+    """
+    latest = latest_decisions(between_days(decisions, "decision_time_ms", start))
+    return between_days(latest, "decision_time_ms", None, end).withColumn(DECISION_DAY, F.to_date("decision_time_ms"))
+
+
+def recent_decisions(decisions: DataFrame, now: Column, hours: int) -> DataFrame:
+    """Latest decision per transaction, where it was made in the last `hours` up to `now`."""
+    latest = latest_decisions(since(decisions, "decision_time_ms", now, hours))
+    return latest.where(F.col("decision_time_ms") <= now)
 
 
 def transaction_audit(enriched: DataFrame, decisions: DataFrame, transaction_id: str | None = None) -> DataFrame:
@@ -95,6 +112,8 @@ def decided_transactions(
     """Latest decisions with `columns` of their transaction; both sides unique before the join."""
     narrow = decisions.select(*[c for c in decisions.columns if c in DECIDED_COLUMNS])
     left = current_decisions(narrow, start, end)
+    if start is not None or end is not None:  # only the window's transactions are deduplicated
+        enriched = enriched.join(left.select("transaction_id"), "transaction_id", "left_semi")
     right = latest_enriched(enriched, columns).select("transaction_id", *columns)
     return left.join(right, "transaction_id")
 

@@ -184,8 +184,8 @@ def dlq_payload_mask(spark, folder):
 @register(
     "frame_check",
     with_ctes(TX)
-    + """SELECT transaction_id, CASE CAST(event_id % 4 AS INTEGER) WHEN 0 THEN NULL WHEN 1 THEN 'Payload too short: 3 bytes' WHEN 2 THEN 'Invalid magic byte: 0x07'
-  ELSE 'Schema ID mismatch: got ' || k || ', expected 200' END AS error FROM tx""",
+    + """SELECT transaction_id, CASE CAST(event_id % 4 AS INTEGER) WHEN 0 THEN NULL WHEN 1 THEN 'frame_short:3' WHEN 2 THEN 'frame_magic:07'
+  ELSE 'frame_schema:' || k || ':200' END AS error FROM tx""",
 )
 def frame_check(spark, folder):
     tx = given.transactions(spark, folder)

@@ -318,7 +318,7 @@ hits AS (SELECT replace(m, ':shadow', '') AS rule_id, decision FROM dec1, unnest
 agg AS (SELECT rule_id, count(*) AS n, count(*) FILTER (WHERE decision = 'ALLOW') AS fp FROM hits GROUP BY rule_id)""")
     + f"""SELECT rule_id, n AS shadow_triggers_24h, fp AS fp_count_24h, {num('fp / CAST(n AS DOUBLE)')} AS estimated_fp_rate,
   CASE WHEN n >= 100 AND fp / CAST(n AS DOUBLE) < 0.02 THEN 1 ELSE 0 END AS can_promote,
-  CASE WHEN n < 100 THEN 'Insufficient data (' || n || ' < 100)' WHEN fp / CAST(n AS DOUBLE) >= 0.02 THEN 'FP rate too high' ELSE '' END AS reason FROM agg""",
+  CASE WHEN n < 100 THEN 'few_triggers:' || n WHEN fp / CAST(n AS DOUBLE) >= 0.02 THEN 'false_positive_rate' ELSE '' END AS reason FROM agg""",
 )
 def shadow_rule_report(spark, folder):
     current = dec.latest_decisions(given.decision_table(spark, folder))

@@ -63,15 +63,15 @@ def fraud_rate_daily(spark, folder):
 @register(
     "fraud_rate_window",
     with_ctes(*BASE, """
-recent AS (SELECT *, strftime(epoch_ms(CAST(decided_ms AS BIGINT)), '%Y-%m-%d') AS decision_date FROM dec
-  WHERE strftime(epoch_ms(CAST(decided_ms AS BIGINT)), '%Y-%m-%d') BETWEEN '2024-01-10' AND '2024-01-16'
+newest AS (SELECT *, strftime(epoch_ms(CAST(decided_ms AS BIGINT)), '%Y-%m-%d') AS decision_date FROM dec
   QUALIFY row_number() OVER (PARTITION BY transaction_id ORDER BY decided_ms DESC) = 1),
+recent AS (SELECT * FROM newest WHERE decision_date BETWEEN '2024-01-10' AND '2024-01-16'),
 j AS (SELECT d.*, e.channel, e.amount AS e_amount FROM recent d JOIN enr1 e USING (transaction_id))""")
     + f"""SELECT decision_date, channel, decision, count(*) AS transaction_count, {num('sum(e_amount)')} AS total_amount,
   {num('avg(fraud_score)')} AS avg_fraud_score, {num('quantile_disc(latency_ms, 0.99)')} AS p99_latency_ms FROM j GROUP BY ALL""",
 )
 def fraud_rate_window(spark, folder):
-    """One week; days are cut before deduplication, where they prune partitions of a lake table."""
+    """One week; the first day prunes partitions of a lake table, the last is cut after deduplication."""
     return views.fraud_rate_daily(*both(spark, folder), start="2024-01-10", end="2024-01-16")
 
 
@@ -172,13 +172,13 @@ def rule_leaderboard(spark, folder):
 @register(
     "rule_triggers_last_day",
     with_ctes(*BASE, """
-recent AS (SELECT * FROM dec WHERE decided_ms > 1706000000000 - 86400000 AND decided_ms <= 1706000000000
-  QUALIFY row_number() OVER (PARTITION BY transaction_id ORDER BY decided_ms DESC) = 1)""")
+newest AS (SELECT * FROM dec QUALIFY row_number() OVER (PARTITION BY transaction_id ORDER BY decided_ms DESC) = 1),
+recent AS (SELECT * FROM newest WHERE decided_ms > 1706000000000 - 86400000 AND decided_ms <= 1706000000000)""")
     + """SELECT r AS rule_name, decision, count(*) AS trigger_count FROM recent, unnest(rule_triggers) AS u(r) GROUP BY ALL""",
 )
 def rule_triggers_last_day(spark, folder):
     now = F.timestamp_millis(F.lit(1706000000000))
-    recent = views.lookback(given.decision_table(spark, folder), "decision_time_ms", now, hours=24)
+    recent = views.recent_decisions(given.decision_table(spark, folder), now, hours=24)
     return views.triggered(recent).groupBy("rule_name", "decision").agg(F.count(F.lit(1)).alias("trigger_count"))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 EPOCH = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 # `props` is always {"k": number}; taking the number out as text costs far less than parsing.
 PROPS_K = "cast(substring_index(substring_index(props, ': ', -1), '}', 1) AS bigint)"
-ID = "lpad(cast(event_id AS string), 12, '0')"
+ID = "lpad(cast(event_id AS string), greatest(12, length(cast(event_id AS string))), '0')"
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from riskspark.operators.dedup import first_per_key
@@ -35,7 +36,7 @@ def start_feed(alert_rows: DataFrame, root: str, size: int = BUFFER, trigger: di
         path = f"{root}/feed"
         previous = None
         if batch_id > 0:
-            versions = spark.read.parquet(path)
+            versions = spark.read.schema(feed_schema(batch.schema)).parquet(path)  # a batch without alerts leaves no file
             latest = versions.where(F.col("ingest_batch") < batch_id).agg(F.max("ingest_batch")).scalar()
             previous = versions.where(F.col("ingest_batch") == latest)
         write_batch(feed_step(previous, batch, size), path, "feed_day", F.lit("1970-01-01").cast("date"), batch_id)
@@ -44,8 +45,14 @@ def start_feed(alert_rows: DataFrame, root: str, size: int = BUFFER, trigger: di
     return writer.trigger(**(trigger or {"processingTime": "1 second"})).start()
 
 
-def read_feed(spark, root: str) -> DataFrame:
-    versions = spark.read.parquet(f"{root}/feed")
+def feed_schema(alerts: T.StructType) -> T.StructType:
+    return T.StructType([*alerts.fields, T.StructField("ingest_batch", T.LongType()), T.StructField("feed_day", T.DateType())])
+
+
+def read_feed(spark, root: str, alerts: T.StructType | None = None) -> DataFrame:
+    """The newest version of the feed; with the schema of the alerts it can be read before the first alert too."""
+    reader = spark.read if alerts is None else spark.read.schema(feed_schema(alerts))
+    versions = reader.parquet(f"{root}/feed")
     latest = versions.agg(F.max("ingest_batch")).scalar()
     return versions.where(F.col("ingest_batch") == latest).drop("ingest_batch", "feed_day")
 

@@ -83,7 +83,7 @@ def test_frames(spark):
     ok, bad = framed_avro.decode(df, decoder, schema_id=7)
     assert [r[0] for r in ok.collect()] == ["body"]
     assert [r[1] for r in rows_of(bad.select("offset", "error_message"), "offset")] == [
-        "Payload too short: 2 bytes", "Invalid magic byte: 0x05", "Schema ID mismatch: got 8, expected 7", "Payload missing", "Record cannot be decoded",
+        "frame_short:2", "frame_magic:05", "frame_schema:8:7", "frame_absent", "Record cannot be decoded",
     ]
 
 
@@ -250,3 +250,34 @@ def test_snapshot_takes_latest(spark):
         )
     }
     assert rows_of(snapshot(views).select("account_id", "geo_country"), "account_id") == [("a", "FR")]
+
+
+def test_a_decision_made_again_after_the_window_is_not_reported(spark):
+    import datetime as dt
+
+    from riskspark.plans.views import current_decisions, recent_decisions
+
+    rows = [("t1", "BLOCK", 0.9, dt.datetime(2024, 1, 10)), ("t1", "ALLOW", 0.1, dt.datetime(2024, 1, 12)), ("t2", "FLAG", 0.5, dt.datetime(2024, 1, 10))]
+    df = spark.createDataFrame(rows, "transaction_id string, decision string, fraud_score double, decision_time_ms timestamp")
+    assert [r["decision"] for r in current_decisions(df, "2024-01-09", "2024-01-10").collect()] == ["FLAG"]
+    assert {r["decision"] for r in current_decisions(df).collect()} == {"ALLOW", "FLAG"}
+    now = F.lit("2024-01-10 12:00:00").cast("timestamp")
+    assert [r["decision"] for r in recent_decisions(df, now, 24).collect()] == ["FLAG"]
+
+
+@pytest.mark.parametrize("amount", ["NaN", "Infinity", "1e20"])
+def test_amounts_that_cannot_be_stored_are_errors(spark, amount):
+    from riskspark.operators.ingest import ERRORS, value_errors
+
+    df = spark.createDataFrame([(amount, 0, "EUR", "POS", "k", "s")], "amount string, event_time bigint, currency string, channel string, api_key_id string, oauth_scope string")
+    assert ERRORS["amount_type"] in df.select(value_errors(F.lit(0)).alias("e")).first()["e"]
+
+
+def test_feed_survives_a_first_batch_without_alerts(spark, folder):
+    from riskspark.streaming.live import feed_step, read_feed
+    from riskspark.streaming.sinks import write_batch
+
+    schema = "transaction_id string, account_id string, evaluation_timestamp timestamp"
+    empty = spark.createDataFrame([], schema)
+    write_batch(feed_step(None, empty), f"{folder}/feed", "feed_day", F.lit("1970-01-01").cast("date"), 0)
+    assert read_feed(spark, folder, empty.schema).count() == 0
