@@ -65,7 +65,8 @@ def mod_97(iban: Column) -> Column:
         value = F.when(letter.rlike("[0-9]"), F.ascii(letter) - 48).otherwise(F.ascii(letter) - 55)
         return (total * F.when(value > 9, 100).otherwise(10) + value) % 97
 
-    return F.length(clean).between(15, 34) & (F.aggregate(F.split(moved, "(?!^)"), F.lit(0), add) == 1)
+    letters = F.filter(F.split(moved, ""), lambda letter: letter != "")
+    return F.length(clean).between(15, 34) & (F.aggregate(letters, F.lit(0), add) == 1)
 
 
 def confirmed(kind: str, match: Column) -> Column:
