@@ -62,8 +62,26 @@ class Matcher:
                 self.reach[node] = max(self.reach[node], budget(term))
             self.term[node] = term
         self.alphabet = frozenset("".join(terms))
-        self.start = self.closed({0: 0})
-        self.steps: dict[tuple, dict[str, tuple]] = {}
+        self.reset()
+
+    def reset(self) -> None:
+        """States by number, met so far: their nodes, steps and nearest term. State 0 is the dead one, 1 the start."""
+        self.states: list[tuple] = [(), self.closed({0: 0})]
+        self.numbers = {state: number for number, state in enumerate(self.states)}
+        self.steps: list[dict[str, int]] = [{}, {}]
+        self.accepts: list[tuple[str, int] | None] = [None, self.accepted(self.states[1])]
+
+    def accepted(self, state: tuple) -> tuple[str, int] | None:
+        found = [(cost, self.term[node]) for node, cost in state if self.term[node] is not None and cost <= budget(self.term[node])]
+        return (min(found)[1], min(found)[0]) if found else None
+
+    def numbered(self, state: tuple) -> int:
+        number = self.numbers.setdefault(state, len(self.states))
+        if number == len(self.states):
+            self.states.append(state)
+            self.steps.append({})
+            self.accepts.append(self.accepted(state))
+        return number
 
     def closed(self, costs: dict[int, int]) -> tuple:
         """Adds the nodes reached by leaving out letters of the term; drops nodes beyond their budget."""
@@ -86,20 +104,19 @@ class Matcher:
         return self.closed(costs)
 
     def nearest(self, word: str) -> tuple[str, int] | None:
-        state = self.start
+        if len(self.states) > 20_000:
+            self.reset()
+        at, steps, alphabet = 1, self.steps, self.alphabet
         for letter in word:
-            letter = letter if letter in self.alphabet else "\0"
-            known = self.steps.get(state)
-            if known is None:
-                if len(self.steps) > 50_000:
-                    self.steps.clear()
-                known = self.steps[state] = {}
-            following = known.get(letter)
-            state = known[letter] = self.step(state, letter) if following is None else following
-            if not state:
+            following = steps[at].get(letter)
+            if following is None:
+                known = letter if letter in alphabet else "\0"
+                following = self.numbered(self.step(self.states[at], known))
+                steps[at][letter] = following
+            if not following:
                 return None
-        found = [(cost, self.term[node]) for node, cost in state if self.term[node] is not None and cost <= budget(self.term[node])]
-        return (min(found)[1], min(found)[0]) if found else None
+            at = following
+        return self.accepts[at]
 
 
 def plain(raw: bytes) -> str:
