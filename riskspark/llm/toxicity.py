@@ -39,7 +39,7 @@ FEATURES = 6
 
 def budget(term: str) -> int:
     """Edits that a term allows."""
-    return 0 if len(term) < 5 else 1 if len(term) < 9 else 2
+    return 0 if len(term) < 5 else 1 if len(term) < 12 else 2
 
 
 class Matcher:
@@ -104,7 +104,7 @@ class Matcher:
         return self.closed(costs)
 
     def nearest(self, word: str) -> tuple[str, int] | None:
-        if len(self.states) > 20_000:
+        if len(self.states) > 50_000:
             self.reset()
         at, steps, alphabet = 1, self.steps, self.alphabet
         for letter in word:
