@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from riskspark.llm.labelled import held_out, training_texts
 from riskspark.llm.words import utf8
+from riskspark.session import stored
 
 # Terms of abuse known beforehand, and words that report what others say.
 SEEDS = "idiot moron stupid loser scum trash pathetic worthless disgusting clown imbecile scumbag dumbass asshole bastard bitch retard subhuman vermin"
@@ -88,6 +89,8 @@ class Matcher:
         todo = sorted(costs, key=costs.get)
         while todo:
             node = todo.pop(0)
+            if costs[node] >= self.reach[node]:
+                continue  # no edit left below
             for below in self.letters[node].values():
                 cost = costs[node] + 1
                 if cost <= self.reach[below] and cost < costs.get(below, 99):
@@ -98,6 +101,11 @@ class Matcher:
     def step(self, state: tuple, letter: str) -> tuple:
         costs: dict[int, int] = {}
         for node, cost in state:
+            if cost >= self.reach[node]:  # only the letter itself goes on
+                below = self.letters[node].get(letter)
+                if below is not None and cost <= self.reach[below] and cost < costs.get(below, 99):
+                    costs[below] = cost
+                continue
             for at, price in [(node, cost + 1), *((below, cost + (letter != own)) for own, below in self.letters[node].items())]:
                 if price <= self.reach[at] and price < costs.get(at, 99):
                     costs[at] = price
@@ -119,6 +127,18 @@ class Matcher:
         return self.accepts[at]
 
 
+_MATCHERS: dict[tuple, Matcher] = {}
+
+
+def matcher_of(terms: list[str]) -> Matcher:
+    """The worker process keeps the matcher of its latest lexicon, so states are built once a process and not once a task."""
+    key = tuple(sorted(terms))
+    if key not in _MATCHERS:
+        _MATCHERS.clear()
+        _MATCHERS[key] = Matcher(list(key))
+    return _MATCHERS[key]
+
+
 def plain(raw: bytes) -> str:
     """A word in lower case without what is not a letter at its ends."""
     word = raw.decode().lower()
@@ -140,7 +160,7 @@ class Scanner(dict):
 
     def __init__(self, model: Model):
         super().__init__()
-        self.model, self.matcher = model, Matcher(list(model.weights))
+        self.model, self.matcher = model, matcher_of(list(model.weights))
 
     def __missing__(self, raw: bytes):
         if len(self) >= WORD_CACHE:
@@ -181,6 +201,18 @@ class Scanner(dict):
         return [math.log1p(abuse), math.log1p(100 * abuse / max(n, 1)), most, math.log1p(len(terms)), math.log1p(fuzzy), math.log1p(quoted)]
 
 
+_SCANNERS: dict[tuple, Scanner] = {}
+
+
+def scanner_of(model: Model) -> Scanner:
+    """The scanner, with the words it remembers, also outlives a task."""
+    key = (tuple(sorted(model.weights.items())), model.excluded)
+    if key not in _SCANNERS:
+        _SCANNERS.clear()
+        _SCANNERS[key] = Scanner(model)
+    return _SCANNERS[key]
+
+
 def training_words(sample: DataFrame) -> DataFrame:
     """word, toxic and clean: numbers of documents of the sample that use it."""
 
@@ -201,7 +233,7 @@ def near_clean_words(words: DataFrame, terms: list[str]) -> frozenset[str]:
     """Words of clean documents that are an edit or two away from a term, not equal to one."""
 
     def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        matcher = Matcher(terms)
+        matcher = matcher_of(terms)
         for batch in batches:
             own = [w for w in batch.column("word").to_pylist() if (hit := matcher.nearest(w)) and hit[1]]
             yield pa.RecordBatch.from_arrays([pa.array(own, pa.string())], names=["word"])
@@ -229,7 +261,7 @@ def logistic(rows: np.ndarray, labels: np.ndarray, rounds: int = 30, ridge: floa
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int = 20_000, least: int = 4, most_terms: int = 1_000) -> Model:
     """Learns terms, exclusions and weights from at most `sample` labelled documents; at most `most_terms` learned terms."""
     rows = training_texts(docs, labels, label, sample)
-    words = training_words(rows)
+    words = stored(training_words(rows))  # read for the terms and for the exclusions
     share = (F.col("toxic") + 0.05) / (F.col("toxic") + F.col("clean") + 1.0)
     learned = words.filter((F.length("word") >= 4) & (F.col("toxic") >= least) & (share >= 0.75)).select("word", share.alias("share"))
     weights = {term: 1.0 for term in SEEDS.split()}
@@ -237,7 +269,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int =
     model = Model(weights, near_clean_words(words, list(weights)))
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scanner = Scanner(model)
+        scanner = scanner_of(model)
         for batch in batches:
             found = [scanner.features(text) for text in utf8(batch.column("text"))]
             yield pa.RecordBatch.from_arrays([pa.array(found, pa.list_(pa.float64())), batch.column("label")], names=["features", "label"])
@@ -252,7 +284,7 @@ def score(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
     """Per input row: doc_id, held_out, score, predicted, and how many hits count as abuse or are spoken about."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scanner = Scanner(model)
+        scanner = scanner_of(model)
         for batch in batches:
             rows = np.array([scanner.features(text) for text in utf8(batch.column("text"))]).reshape(batch.num_rows, FEATURES)
             margin = model.beta[0] + rows @ model.beta[1:]
