@@ -1,7 +1,8 @@
 """IP addresses as text: check, truncate to the network, turn into a prefix key.
 
-IPv6 stays in Columns too. The kept prefix covers at most the first four of the
+IPv6 stays in Columns too. What is kept of an address covers the first four of the
 eight groups, so the zero run that the text form compresses is the trailing one.
+Ranges are matched on all eight.
 """
 
 from __future__ import annotations
@@ -51,11 +52,21 @@ def _groups(text: Column) -> Column:
     return F.filter(F.split(text, ":"), lambda g: g != "")
 
 
-def _first_groups(ip: Column) -> Column:
-    """The first four groups of an IPv6 address, zero run written out."""
-    text = _hex_form(ip)
+def _all_groups(text: Column) -> Column:
+    """The eight groups of an IPv6 address without a dotted tail, zero run written out."""
     zeros = F.concat(F.lit(":"), F.repeat(F.lit("0:"), F.greatest(F.lit(0), 8 - F.size(_groups(text)))))
-    return F.slice(_groups(F.regexp_replace(text, F.lit("::"), zeros)), 1, 4)
+    return _groups(F.regexp_replace(text, F.lit("::"), zeros))
+
+
+def _first_groups(ip: Column) -> Column:
+    return F.slice(_all_groups(_hex_form(ip)), 1, 4)
+
+
+def _tail_in_hex(ip: Column) -> Column:
+    """The address with its dotted tail written as two groups."""
+    tail = v4_number(F.nullif(F.regexp_extract(ip, rf"(?<=:)({_DOTTED})$", 1), F.lit("")))
+    groups = F.concat_ws(":", F.hex(F.shiftright(tail, 16)), F.hex(tail.bitwiseAND(F.lit(65535))))
+    return F.when(tail.isNull(), ip).otherwise(F.concat(F.regexp_replace(ip, rf"(?<=:){_DOTTED}$", ""), groups))
 
 
 def v6_network64(ip: Column) -> Column:
@@ -88,9 +99,9 @@ def representative_host(subnet: Column) -> Column:
 
 
 def address_bits(ip: Column) -> Column:
-    """'4' or '6' followed by the address bits: all 32 of IPv4, the first 64 of IPv6."""
+    """'4' or '6' followed by the address bits: 32 of IPv4, 128 of IPv6."""
     v4 = F.concat(F.lit("4"), F.lpad(F.bin(v4_number(ip)), 32, "0"))
-    groups = F.transform(_first_groups(ip), lambda g: F.lpad(F.conv(g, 16, 2), 16, "0"))
+    groups = F.transform(_all_groups(_tail_in_hex(ip)), lambda g: F.lpad(F.conv(g, 16, 2), 16, "0"))
     v6 = F.when(is_v6(ip), F.concat(F.lit("6"), F.array_join(groups, "")))
     return F.coalesce(v4, v6)
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskspark.functions import ip as ipf
@@ -13,14 +13,9 @@ DEFAULT_CLASS = "RESIDENTIAL"
 DEFAULT_CONFIDENCE = 0.9
 
 
-def resolve_subnets(subnets: DataFrame, ranges: DataFrame, column: str) -> DataFrame:
-    """One row per distinct subnet with the attributes of the most specific range that holds it.
-
-    Every subnet is tried once per prefix length that occurs in the table (at
-    most 65), each time as an equality join on the prefix itself, so no pair of
-    a subnet and a range outside it is ever formed.
-    """
-    keyed = ranges.select(
+def keyed_ranges(ranges: DataFrame) -> DataFrame:
+    """Ranges by join key and prefix length, with the geo columns."""
+    return ranges.select(
         ipf.prefix_key(ipf.address_bits(F.col("network")), F.col("prefix_len")).alias("_prefix"),
         F.col("prefix_len").cast("int").alias("_len"),
         F.col("country").alias("geo_country"),
@@ -28,11 +23,24 @@ def resolve_subnets(subnets: DataFrame, ranges: DataFrame, column: str) -> DataF
         F.coalesce(F.col("network_class"), F.lit(DEFAULT_CLASS)).alias("geo_network_class"),
         F.coalesce(F.col("confidence"), F.lit(DEFAULT_CONFIDENCE)).cast("float").alias("geo_confidence"),
     )
+
+
+def subnet_bits(subnet: Column) -> Column:
+    """Address bits of the host that stands for the subnet."""
+    return ipf.address_bits(ipf.representative_host(subnet))
+
+
+def resolve_subnets(subnets: DataFrame, ranges: DataFrame, column: str) -> DataFrame:
+    """One row per distinct subnet with the attributes of the most specific range that holds it.
+
+    Every subnet is tried once per prefix length that occurs in the table (at
+    most 129), each time as an equality join on the prefix itself, so no pair of
+    a subnet and a range outside it is ever formed.
+    """
+    keyed = keyed_ranges(ranges)
     lengths = keyed.select("_len").distinct()
-    bits = subnets.select(
-        F.col(column), ipf.address_bits(ipf.representative_host(F.col(column))).alias("_bits")
-    ).where(F.col("_bits").isNotNull())
-    known = lengths.agg(F.collect_set("_len").alias("_lens"))  # at most 65 small integers
+    bits = subnets.select(F.col(column), subnet_bits(F.col(column)).alias("_bits")).where(F.col("_bits").isNotNull())
+    known = lengths.agg(F.collect_set("_len").alias("_lens"))  # at most 129 small integers
     tried = bits.select(
         column, "_bits", F.explode(known.scalar()).alias("_len")
     ).select(column, "_len", ipf.prefix_key(F.col("_bits"), F.col("_len")).alias("_prefix"))

@@ -25,8 +25,20 @@ SETTINGS = {
 }
 
 
+def path_for_workers() -> None:
+    """Lets Python workers that the driver's JVM starts import this package, wherever the program was started.
+
+    The stateful streams have such workers, and files added to the context do not reach them. Works before the JVM starts.
+    """
+    home = str(Path(__file__).resolve().parent.parent)
+    paths = os.environ.get("PYTHONPATH", "").split(os.pathsep)
+    if home not in paths:
+        os.environ["PYTHONPATH"] = os.pathsep.join([home, *filter(None, paths)])
+
+
 def build_session(app_name: str = "riskspark", master: str | None = None, **extra: str) -> SparkSession:
     """A session with the library's settings; `extra` uses `__` for the dots of a key."""
+    path_for_workers()
     builder = SparkSession.builder.appName(app_name)
     if master:
         builder = builder.master(master)

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskspark.functions.coerce import is_blank
-from riskspark.operators.geo import GEO_COLUMNS, geo_enrich
+from riskspark.functions.ip import prefix_key
+from riskspark.operators.geo import GEO_COLUMNS, keyed_ranges, subnet_bits
 from riskspark.operators.velocity import WINDOWS
 from riskspark.schemas import nullable
 from riskspark.streaming import stateful
@@ -17,19 +18,22 @@ KEY_SPREAD = 4096
 
 
 def _stage(df: DataFrame, key, processor, added: T.StructType) -> DataFrame:
-    """One keyed step that keeps the event time column for the next one."""
+    """One keyed step. The event time is a plain column for it, so Spark drops no row as late."""
     plain = [T.StructField(f.name, f.dataType, True) for f in df.schema if not f.name.startswith("_key")]
     return df.groupBy(key).transformWithStateInPandas(
         statefulProcessor=processor,
         outputStructType=T.StructType([*plain, *added]),
         outputMode="Append",
         timeMode="EventTime",
-        eventTimeColumnName=EVENT_TIME,
     )
 
 
 def watermarked(events: DataFrame) -> DataFrame:
-    """Events with the wide watermark and the number columns the processors work on."""
+    """Events with the number columns the processors work on, behind a watermark.
+
+    The watermark is the clock of timers and of lateness. The event time is made anew after it, so that no later step
+    filters by it: rows of any age reach the processors, which mark the ones that are too late.
+    """
     timed = events.withColumns(
         {
             "event_ms": F.unix_millis(EVENT_TIME),
@@ -37,7 +41,8 @@ def watermarked(events: DataFrame) -> DataFrame:
             "amount_units": (F.col("amount") * stateful.MONEY_UNITS).cast("bigint"),
         }
     )
-    return timed.withWatermark(EVENT_TIME, f"{stateful.WIDE_WATERMARK_MS} milliseconds")
+    clocked = timed.withWatermark(EVENT_TIME, f"{stateful.OUT_OF_ORDER_MS} milliseconds")
+    return clocked.withColumn(EVENT_TIME, F.timestamp_micros(F.unix_micros(EVENT_TIME)))
 
 
 def first_seen(events: DataFrame) -> DataFrame:
@@ -64,19 +69,28 @@ def with_device(events: DataFrame) -> DataFrame:
     return _stage(keyed, "device_key", stateful.Device(), added)
 
 
-def geo_by_subnet(events: DataFrame, resolved: DataFrame) -> DataFrame:
-    """Stream-static join with subnets resolved beforehand."""
-    return events.join(resolved, "caller_ip_subnet", "left")
-
-
-def enriched_stream(events: DataFrame, resolved: DataFrame) -> DataFrame:
-    """All enrichment columns; refused rows come along marked `lateness = 'beyond'`.
-
-    `resolved` has one row per subnet with the geo columns.
-    """
+def geo_by_subnet(events: DataFrame, ranges: DataFrame, subnet: str = "caller_ip_subnet") -> DataFrame:
+    """Geo columns of any subnet without state: one left equality join per prefix length of the table, the longest wins."""
+    keyed = keyed_ranges(ranges)
+    known = keyed.groupBy("_prefix", "_len").agg(F.max(F.struct(*GEO_COLUMNS)).alias("_geo"))
+    lengths = sorted((row[0] for row in keyed.select("_len").distinct().collect()), reverse=True)  # at most 129 numbers
+    placed = events.withColumn("_bits", subnet_bits(F.col(subnet)))
+    found = [F.lit(None).cast(known.schema["_geo"].dataType)]
+    for length in lengths:
+        own = known.where(F.col("_len") == length).select(
+            F.col("_prefix").alias(f"_prefix_{length}"), F.col("_geo").alias(f"_geo_{length}")
+        )
+        placed = placed.join(own, prefix_key(F.col("_bits"), F.lit(length)) == F.col(f"_prefix_{length}"), "left")
+        found.append(F.col(f"_geo_{length}"))
+    best = F.coalesce(*found)
+    return placed.select(*events.columns, *[best[name].alias(name) for name in GEO_COLUMNS])
+
+
+def enriched_stream(events: DataFrame, ranges: DataFrame) -> DataFrame:
+    """All enrichment columns; refused rows come along marked `lateness = 'beyond'`."""
     fresh = first_seen(watermarked(events))
     moving = with_velocity(fresh)
-    placed = geo_by_subnet(moving, resolved.select("caller_ip_subnet", *GEO_COLUMNS))
+    placed = geo_by_subnet(moving, ranges)
     return with_device(placed)
 
 
@@ -99,8 +113,3 @@ def as_features(batch: DataFrame) -> DataFrame:
         }
     )
     return batch.withColumns(columns)
-
-
-def locate(batch: DataFrame, ranges: DataFrame) -> DataFrame:
-    """Geo lookup inside a micro-batch, for callers without a resolved subnet table."""
-    return geo_enrich(batch, ranges)

@@ -102,7 +102,7 @@ def batch_function(
 
 def start(
     events: DataFrame,
-    resolved_subnets: DataFrame,
+    ranges: DataFrame,
     rules: Iterable[Rule],
     root: str,
     source_topic: str = "txn.api",
@@ -112,13 +112,15 @@ def start(
 ) -> StreamingQuery:
     """Starts the job on a stream of events. State, offsets and tables live under `root`.
 
+    `ranges` is the geo reference table; each micro-batch reads it anew.
+
     `deliver` gets each batch's alerts and `publish` its enriched rows as keyed
     JSON, for instance to write them to a topic; both may see a batch again
     after a failure.
     """
     paths = Paths(root)
     write = sinks.logged("enrichment", paths.failures, batch_function(rules, paths, source_topic, deliver, publish))
-    stream = enriched_stream(events, resolved_subnets)
+    stream = enriched_stream(events, ranges)
     return (
         stream.writeStream.outputMode("append")
         .option("checkpointLocation", paths.checkpoint)

@@ -5,9 +5,8 @@ numpy over the batch instead of a loop over rows. What a key holds in memory is
 its share of one micro-batch (bounded by the trigger's row limit) plus its minute
 buckets of a day.
 
-Spark drops rows behind the watermark before they reach a processor. The query
-therefore declares a wide watermark, and the processors compare rows with the
-narrow one derived from it, so that late rows can be reported.
+Rows of any age reach the processors (see `enrich.watermarked`); the watermark is
+what they compare rows with, so that late rows can be reported.
 """
 
 from __future__ import annotations
@@ -29,7 +28,6 @@ RETENTION_MS = (24 * 3600 + 41) * 1000
 OUT_OF_ORDER_MS = 10_000
 ALLOWED_LATENESS_MS = 30_000
 # End of fixed values.
-WIDE_WATERMARK_MS = 10 * MINUTE_MS
 MONEY_UNITS = 10_000  # amounts are kept as whole numbers of 1/10000
 
 
@@ -142,8 +140,8 @@ class Velocity(_Ordered):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         frame = self.sorted_rows(rows)
-        wide = timerValues.getCurrentWatermarkInMs()
-        narrow = wide + WIDE_WATERMARK_MS - OUT_OF_ORDER_MS if wide > 0 else None
+        watermark = timerValues.getCurrentWatermarkInMs()
+        narrow = watermark if watermark > 0 else None
         times = frame[self.time].to_numpy(dtype=np.int64)
         lateness = np.full(len(frame), "on_time", dtype=object)
         if narrow is not None:
@@ -164,7 +162,7 @@ class Velocity(_Ordered):
                 n, total = rolling(known, minutes, units, span)
                 accepted[f"vel_count_{label}"] = pd.Series(n, dtype="Int64", index=accepted.index)
                 accepted[f"vel_units_{label}"] = pd.Series(total, dtype="Int64", index=accepted.index)
-            oldest = (max(0, wide) - RETENTION_MS) // MINUTE_MS
+            oldest = (max(0, watermark) - RETENTION_MS) // MINUTE_MS
             store_buckets(self.buckets, known, minutes, units, oldest)
             self.free_at(int(accepted[self.time].max()) + RETENTION_MS)
         yield pd.concat([accepted, refused], ignore_index=True)

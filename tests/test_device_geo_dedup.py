@@ -6,6 +6,7 @@ from riskspark.operators import dedup
 from riskspark.operators.device import device_features
 from riskspark.operators.features import as_of
 from riskspark.operators.geo import geo_enrich
+from riskspark.streaming.enrich import geo_by_subnet
 from riskspark.sources.lake import GEO_RANGES, read_geo
 
 SCHEMA = "transaction_id string, api_key_id string, event_ms bigint, geo_country string"
@@ -113,3 +114,16 @@ def test_as_of_edges(spark):
     for options in ({}, {"hot_rows": 1, "chunk_ms": 50}):
         got = as_of(entities, features, ["v"], 1_000, **options).select("transaction_id", "v")
         assert rows_of(got, "transaction_id") == expected
+
+
+def test_ipv6_ranges_of_any_length(spark):
+    ranges = spark.createDataFrame(
+        [("2001:db8::", 48, "AA"), ("2001:db8:0:1::", 64, "BB"), ("2001:db8:0:1:ffff::", 96, "CC"), ("::ffff:203.0.0.0", 104, "DD"), ("5.0.0.0", 8, "EE")],
+        "network string, prefix_len int, country string",
+    ).withColumns({"city": F.lit("x"), "network_class": F.lit(None).cast("string"), "confidence": F.lit(None).cast("double")})
+    wanted = {"2001:db8:0:1::": "BB", "2001:db8:0:2::": "AA", "2001:db8:0:1:ffff::": "CC", "::ffff:203.0.113.7": "DD", "::ffff:204.0.113.7": None,
+              "5.200.7.0": "EE", "9.9.9.0": None, "2001:db9::": None}
+    events = spark.createDataFrame([(s,) for s in wanted], "caller_ip_subnet string")
+    for found in (geo_enrich(events, ranges), geo_by_subnet(events, ranges)):
+        assert {r.caller_ip_subnet: r.geo_country for r in found.collect()} == wanted
+    assert geo_by_subnet(events, ranges.limit(0)).where("geo_country IS NULL").count() == len(wanted)

@@ -1,5 +1,8 @@
 """The streaming job against the batch operators, over files of events."""
 
+import os
+import subprocess
+import sys
 import time
 
 import pytest
@@ -7,7 +10,6 @@ from pyspark.sql import functions as F
 
 from conftest import rows_of
 from riskspark.operators.assemble import add_features
-from riskspark.operators.geo import resolve_subnets
 from riskspark.registry.rules import SCALED_RULES
 from riskspark.schemas import RAW_EVENT
 from riskspark.sources import driver_tables as given
@@ -30,33 +32,34 @@ def add_file(df, path):
 
 
 @pytest.fixture(scope="module")
-def subnets(spark, small, tmp_path_factory):
-    path = str(tmp_path_factory.mktemp("geo") / "subnets")
-    tx = given.transactions(spark, small)
-    resolve_subnets(tx.select("caller_ip_subnet").distinct(), given.geo_ranges(spark, small), "caller_ip_subnet").write.parquet(path)
+def ranges(spark, small, tmp_path_factory):
+    path = str(tmp_path_factory.mktemp("geo") / "ranges")
+    given.geo_ranges(spark, small).write.parquet(path)
     return spark.read.parquet(path)
 
 
-def run(spark, source, subnets, root, deliver=None, publish=None):
+def run(spark, source, ranges, root, deliver=None, publish=None):
     events = file_stream(spark, source, spark.read.parquet(source).schema, files_per_trigger=1)
-    query = job.start(events, subnets, SCALED_RULES, root, deliver=deliver, publish=publish, trigger={"availableNow": True})
+    query = job.start(events, ranges, SCALED_RULES, root, deliver=deliver, publish=publish, trigger={"availableNow": True})
     assert query.awaitTermination(600)
     assert query.exception() is None
 
 
-def test_stream_equals_batch_with_restart_late_rows_and_copies(spark, small, subnets, folder):
+def test_stream_equals_batch_with_restart_late_rows_and_copies(spark, small, ranges, folder):
     source, root = f"{folder}/in", f"{folder}/out"
     tx = events_of(spark, small)
     add_file(tx.where("event_id < 400"), source)
     add_file(tx.where("event_id >= 390 AND event_id < 700"), source)  # ten copies
-    run(spark, source, subnets, root)
+    run(spark, source, ranges, root)
     assert read_enriched(spark, f"{root}/enriched").count() == 700
 
-    # A restart goes on from the checkpoint. The new files hold a row two minutes
-    # behind the newest event (beyond the allowed lateness, ahead of the watermark).
+    # A restart goes on from the checkpoint. The new files hold rows beyond the
+    # allowed lateness: two minutes, eleven minutes and three days behind the newest event.
     newest = tx.where("event_id < 700").agg(F.max("event_ms")).first()[0]
-    late = tx.where("event_id = 5").withColumns(
-        {"transaction_id": F.lit("late-1"), "event_time": F.timestamp_millis(F.lit(newest - 120_000))}
+    behind = F.explode(F.array(*[F.struct(F.lit(name).alias("name"), F.lit(ms).alias("ms"))
+                                 for name, ms in (("late-1", 120_000), ("late-2", 660_000), ("late-3", 259_200_000))]))
+    late = tx.where("event_id = 5").withColumn("behind", behind).withColumns(
+        {"transaction_id": F.col("behind.name"), "event_time": F.timestamp_millis(F.lit(newest) - F.col("behind.ms"))}
     )
     add_file(late, source)
     add_file(tx.where("event_id >= 700"), source)
@@ -66,7 +69,7 @@ def test_stream_equals_batch_with_restart_late_rows_and_copies(spark, small, sub
         failures.append(alerts.count())
         raise ConnectionError("topic is away")
 
-    run(spark, source, subnets, root, deliver)
+    run(spark, source, ranges, root, deliver)
 
     stored = read_enriched(spark, f"{root}/enriched")
     expected = add_features(tx, given.geo_ranges(spark, small)).select("transaction_id", *COMPARED)
@@ -74,9 +77,10 @@ def test_stream_equals_batch_with_restart_late_rows_and_copies(spark, small, sub
     assert got.count() == 1000
     assert expected.exceptAll(got).count() == 0
 
-    letters = spark.read.parquet(f"{root}/late").select("transaction_id", "error_type", "watermark_at_rejection").collect()
-    assert [(r[0], r[1]) for r in letters] == [("late-1", "LATE_EVENT_BEYOND_ALLOWED_LATENESS")]
-    assert letters[0][2] is not None
+    letters = spark.read.parquet(f"{root}/late").select("transaction_id", "error_type", "watermark_at_rejection", "event_time_at_rejection")
+    letters = rows_of(letters, "transaction_id")
+    assert [(r[0], r[1]) for r in letters] == [(f"late-{n}", "LATE_EVENT_BEYOND_ALLOWED_LATENESS") for n in (1, 2, 3)]
+    assert all(r[2] is not None and r[3] < r[2] for r in letters)
 
     decisions = read_decisions(spark, f"{root}/decisions")
     assert decisions.count() == 1000
@@ -88,7 +92,7 @@ def test_stream_equals_batch_with_restart_late_rows_and_copies(spark, small, sub
         assert spark.read.parquet(f"{root}/features/{view}").count() == 1000
 
 
-def test_late_row_corrects_stored_rows(spark, small, subnets, folder):
+def test_late_row_corrects_stored_rows(spark, small, ranges, folder):
     """A row 20 s behind the newest is late but accepted; rows after it are emitted again."""
     source, root = f"{folder}/in", f"{folder}/out"
     tx = events_of(spark, small).where("event_id < 300")
@@ -98,7 +102,7 @@ def test_late_row_corrects_stored_rows(spark, small, subnets, folder):
         {"transaction_id": F.lit("late-2"), "event_time": F.timestamp_millis(F.col("event_ms") - 20_000)}
     )
     add_file(moved, source)
-    run(spark, source, subnets, root)
+    run(spark, source, ranges, root)
     versions = read_enriched(spark, f"{root}/enriched").where(F.col("account_id") == newest.first().account_id)
     again = versions.where(F.col("transaction_id") == newest.first().transaction_id).orderBy("enrichment_time").collect()
     assert [r.vel_count_1m for r in again] == [again[0].vel_count_1m, again[0].vel_count_1m + 1]
@@ -106,11 +110,11 @@ def test_late_row_corrects_stored_rows(spark, small, subnets, folder):
     assert spark.read.schema("transaction_id string").parquet(f"{root}/late").count() == 0
 
 
-def test_misfit_row_becomes_a_letter(spark, small, subnets, folder):
+def test_misfit_row_becomes_a_letter(spark, small, ranges, folder):
     source, root = f"{folder}/in", f"{folder}/out"
     add_file(given.transactions(spark, small).where("event_id < 200"), source)  # some have no device key
     published = []
-    run(spark, source, subnets, root, publish=lambda df: published.append(df.select("key").distinct().count()))
+    run(spark, source, ranges, root, publish=lambda df: published.append(df.select("key").distinct().count()))
     assert published and published[0] > 1
     misfits = spark.read.parquet(f"{root}/misfits")
     without = given.transactions(spark, small).where("event_id < 200 AND api_key_id IS NULL").count()
@@ -119,6 +123,27 @@ def test_misfit_row_becomes_a_letter(spark, small, subnets, folder):
     assert read_enriched(spark, f"{root}/enriched").count() == 200 - without
 
 
+ELSEWHERE = """
+import sys
+sys.path.insert(0, sys.argv[1])
+from riskspark.session import build_session
+from riskspark.streaming import enrich
+spark = build_session("elsewhere", "local[2]", spark__sql__shuffle__partitions="1", spark__ui__enabled="false")
+at = "timestamp'2024-01-01 00:00:00'"
+spark.sql(f"SELECT 't' AS transaction_id, {at} AS event_time, {at} AS processing_time, CAST(1 AS decimal(18,4)) AS amount FROM range(2)").write.parquet("in")
+rows = enrich.first_seen(enrich.watermarked(spark.readStream.schema(spark.read.parquet("in").schema).parquet("in")))
+query = rows.writeStream.format("parquet").option("checkpointLocation", "c").trigger(availableNow=True).start("out")
+assert query.awaitTermination(200) and query.exception() is None
+assert spark.read.schema("transaction_id string").parquet("out").count() == 1
+"""
+
+
+def test_keyed_steps_start_from_another_folder(folder):
+    home = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = {name: value for name, value in os.environ.items() if name != "PYTHONPATH"}
+    subprocess.run([sys.executable, "-c", ELSEWHERE, home], cwd=folder, env=env, timeout=280, check=True)
+
+
 def test_rewritten_batch_replaces_itself(spark, folder):
     path = f"{folder}/t"
     df = spark.createDataFrame([("a", 1), ("b", 2)], "id string, v int")
