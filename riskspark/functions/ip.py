@@ -99,6 +99,11 @@ def representative_host(subnet: Column) -> Column:
 
 
 def address_bits(ip: Column) -> Column:
+    """'4' or '6' followed by the address bits: all 32 of IPv4, the first 64 of IPv6."""
+    return F.substr(all_bits(ip), F.lit(1), F.lit(65))
+
+
+def all_bits(ip: Column) -> Column:
     """'4' or '6' followed by the address bits: 32 of IPv4, 128 of IPv6."""
     v4 = F.concat(F.lit("4"), F.lpad(F.bin(v4_number(ip)), 32, "0"))
     groups = F.transform(_all_groups(_tail_in_hex(ip)), lambda g: F.lpad(F.conv(g, 16, 2), 16, "0"))

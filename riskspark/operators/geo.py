@@ -16,7 +16,7 @@ DEFAULT_CONFIDENCE = 0.9
 def keyed_ranges(ranges: DataFrame) -> DataFrame:
     """Ranges by join key and prefix length, with the geo columns."""
     return ranges.select(
-        ipf.prefix_key(ipf.address_bits(F.col("network")), F.col("prefix_len")).alias("_prefix"),
+        ipf.prefix_key(ipf.all_bits(F.col("network")), F.col("prefix_len")).alias("_prefix"),
         F.col("prefix_len").cast("int").alias("_len"),
         F.col("country").alias("geo_country"),
         F.col("city").alias("geo_city"),
@@ -27,7 +27,7 @@ def keyed_ranges(ranges: DataFrame) -> DataFrame:
 
 def subnet_bits(subnet: Column) -> Column:
     """Address bits of the host that stands for the subnet."""
-    return ipf.address_bits(ipf.representative_host(subnet))
+    return ipf.all_bits(ipf.representative_host(subnet))
 
 
 def resolve_subnets(subnets: DataFrame, ranges: DataFrame, column: str) -> DataFrame:

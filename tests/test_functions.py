@@ -61,6 +61,12 @@ def test_address_bits(spark):
     ]
 
 
+def test_all_bits(spark):
+    values = ["203.0.113.1", "2001:db8::1", "::ffff:203.0.113.7", "bad"]
+    expected = ["4" + f"{int(ipaddress.ip_address(values[0])):032b}", *("6" + f"{int(ipaddress.ip_address(v)):0128b}" for v in values[1:3]), None]
+    assert column(spark, values, ipf.all_bits) == expected
+
+
 def test_text_patterns(spark):
     texts = ["card 4532-1234-5678-9012 here", "4532 1234 5678 9012", "45321234567890123", "none"]
     assert column(spark, texts, pii.has_pan) == [True, True, False, False]
