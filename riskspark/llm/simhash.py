@@ -248,8 +248,13 @@ def one_per_group(docs: DataFrame, width: int = 5, budget: int = 4, most: int =
 
     A null doc_id is larger than any other.
     """
+    return first_of_each(docs, near_duplicates(docs, width, budget, most))
+
+
+def first_of_each(docs: DataFrame, grouped: DataFrame) -> DataFrame:
+    """`docs` with the first row of each `root` of `grouped` (doc_id, text_key, root of every row)."""
     place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key")
-    kept = near_duplicates(docs, width, budget, most).groupBy("root").agg(F.min(place).alias("p")).select(F.col("p.doc_id").alias("kept_id"), F.col("p.text_key").alias("kept_key"))
+    kept = grouped.groupBy("root").agg(F.min(place).alias("p")).select(F.col("p.doc_id").alias("kept_id"), F.col("p.text_key").alias("kept_key"))
     rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").cast("bigint").alias("row_id"), F.xxhash64(F.col("text").cast("string")).alias("row_key"))
     rows = rows.join(kept, (F.col("row_key") == F.col("kept_key")) & F.col("row_id").eqNullSafe(F.col("kept_id")), "left_semi")
     return rows.dropDuplicates(["row_id", "row_key"]).select(*(F.col("row").getField(c).alias(c) for c in docs.columns))
