@@ -2,7 +2,8 @@
 
 The lexicon is a trie of seed terms and of words that mark toxic documents in a bounded labelled sample. The automata of all
 terms run over a word at once: a state is the set of trie nodes still within reach, each with its edit row, and states
-and their steps are built when first met. Short terms allow no edit, longer ones one, long ones two. A hit counts less
+and their steps are built when first met. Terms under 5 letters allow no edit, under 9 one, longer ones two; a swap of neighbouring
+letters is one edit. A word with punctuation inside is matched whole and by its parts. A hit counts less
 per edit and less where its window speaks about the term: in quotation marks or next to a reporting word. Logistic
 regression turns the sums into a score. Words that the lexicon reaches by edits but that clean training documents use are excluded.
 
@@ -32,7 +33,8 @@ SEEDS = "idiot moron stupid loser scum trash pathetic worthless disgusting clown
 REPORTING = "said says saying called calls wrote writes quoted quotes quote word words term terms insult insults slur meaning means"
 
 REPORTING_WORDS = frozenset(REPORTING.split())
-QUOTES = re.compile(r"[\"“”„«»‘’]")
+QUOTES = re.compile(r"[\"“”„«»]|(?<!\w)[‘’]|[‘’](?!\w)")
+INNER = re.compile(r"[\W_]+")
 CONTEXT = 4
 WORD_CACHE = 200_000
 FEATURES = 6
@@ -40,7 +42,7 @@ FEATURES = 6
 
 def budget(term: str) -> int:
     """Edits that a term allows."""
-    return 0 if len(term) < 5 else 1 if len(term) < 12 else 2
+    return 0 if len(term) < 5 else 1 if len(term) < 9 else 2
 
 
 class Matcher:
@@ -63,6 +65,17 @@ class Matcher:
                 self.reach[node] = max(self.reach[node], budget(term))
             self.term[node] = term
         self.alphabet = frozenset("".join(terms))
+        self.real = len(self.letters)
+        # Nodes that wait for the first of two swapped letters, by the node before both and the letter read; they allow no edit.
+        self.swaps: list[dict[str, list[int]]] = [{} for _ in self.letters]
+        for node in range(self.real):
+            for first, below in list(self.letters[node].items()):
+                for second, end in list(self.letters[below].items()):
+                    if first != second and self.reach[end]:
+                        self.swaps[node].setdefault(second, []).append(len(self.letters))
+                        self.letters.append({first: end})
+                        self.term.append(None)
+                        self.reach.append(self.reach[end])
         self.reset()
 
     def reset(self) -> None:
@@ -89,7 +102,7 @@ class Matcher:
         todo = sorted(costs, key=costs.get)
         while todo:
             node = todo.pop(0)
-            if costs[node] >= self.reach[node]:
+            if costs[node] >= self.reach[node] or node >= self.real:
                 continue  # no edit left below
             for below in self.letters[node].values():
                 cost = costs[node] + 1
@@ -101,12 +114,12 @@ class Matcher:
     def step(self, state: tuple, letter: str) -> tuple:
         costs: dict[int, int] = {}
         for node, cost in state:
-            if cost >= self.reach[node]:  # only the letter itself goes on
+            if cost >= self.reach[node] or node >= self.real:  # only the letter itself goes on
                 below = self.letters[node].get(letter)
                 if below is not None and cost <= self.reach[below] and cost < costs.get(below, 99):
                     costs[below] = cost
                 continue
-            for at, price in [(node, cost + 1), *((below, cost + (letter != own)) for own, below in self.letters[node].items())]:
+            for at, price in [(node, cost + 1), *((below, cost + (letter != own)) for own, below in self.letters[node].items()), *((at, cost + 1) for at in self.swaps[node].get(letter, ()))]:
                 if price <= self.reach[at] and price < costs.get(at, 99):
                     costs[at] = price
         return self.closed(costs)
@@ -148,6 +161,14 @@ def plain(raw: bytes) -> str:
     return word[letters[0] : letters[-1] + 1] if letters else ""
 
 
+def parts(word: str) -> list[str]:
+    """The words between punctuation inside a plain word; none if there is no such punctuation."""
+    if word.isalnum():
+        return []
+    found = [plain(part.encode()) for part in INNER.split(word)]
+    return [part for part in found if part]
+
+
 @dataclass
 class Model:
     weights: dict[str, float]
@@ -156,22 +177,27 @@ class Model:
 
 
 class Scanner(dict):
-    """Hit, as (term, edits), of a raw word; None for most. Remembers a bounded number of words."""
+    """Hits, as (term, edits), of a raw word; none for most. Remembers a bounded number of words."""
 
     def __init__(self, model: Model):
         super().__init__()
         self.model, self.matcher = model, matcher_of(list(model.weights))
 
+    def nearest(self, word: str) -> tuple[str, int] | None:
+        hit = self.matcher.nearest(word) if word else None
+        return None if hit and hit[1] and word in self.model.excluded else hit
+
     def __missing__(self, raw: bytes):
         if len(self) >= WORD_CACHE:
             self.clear()
         word = plain(raw)
-        hit = self.matcher.nearest(word) if word else None
-        if hit and hit[1] and word in self.model.excluded:
-            hit = None
+        whole = self.nearest(word)
+        found = tuple(filter(None, map(self.nearest, parts(word))))
+        if whole and (not found or whole[1] < min(edits for _, edits in found)):
+            found = (whole,)
         if len(raw) < 64:
-            self[raw] = hit
-        return hit
+            self[raw] = found
+        return found
 
     def hits(self, text: bytes) -> tuple[int, list[tuple[int, str, int, bool]]]:
         """Number of words, and place, term, edits and whether it is spoken about, of every hit."""
@@ -180,12 +206,12 @@ class Scanner(dict):
         if not any(found):
             return len(words), []
         out = []
-        for at, hit in enumerate(found):
-            if hit:
+        for at, own_hits in enumerate(found):
+            if own_hits:
                 near = [w.decode().lower() for w in words[max(0, at - CONTEXT) : at + CONTEXT + 1]]
                 own = words[at].decode()
                 about = bool(QUOTES.search(own)) or any(w.strip(".,:;") in REPORTING_WORDS for w in near)
-                out.append((at, *hit, about))
+                out += [(at, *hit, about) for hit in own_hits]
         return len(words), out
 
     def features(self, text: bytes) -> list[float]:
@@ -220,7 +246,8 @@ def training_words(sample: DataFrame) -> DataFrame:
         for batch in batches:
             words, labels = [], []
             for text, label in zip(utf8(batch.column("text")), batch.column("label").to_pylist(), strict=True):
-                own = {plain(raw) for raw in set(text.split())} - {""}
+                whole = {plain(raw) for raw in set(text.split())}
+                own = whole.union(*map(parts, whole)) - {""}
                 words += own
                 labels += [label] * len(own)
             yield pa.RecordBatch.from_arrays([pa.array(words, pa.string()), pa.array(labels, pa.int32())], names=["word", "label"])
