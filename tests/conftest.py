@@ -36,6 +36,3 @@ def folder():
 def small():
     return SMALL
 
-
-def rows_of(df, *order):
-    return [tuple(r) for r in df.orderBy(*order).collect()]

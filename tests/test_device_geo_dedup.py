@@ -1,6 +1,6 @@
 from pyspark.sql import functions as F
 
-from conftest import rows_of
+from helpers import rows_of
 from riskspark.functions.clock import DAY_MS, hours
 from riskspark.operators import dedup
 from riskspark.operators.device import device_features

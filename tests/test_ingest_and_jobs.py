@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from conftest import rows_of
+from helpers import rows_of
 from riskspark.operators import ingest
 from riskspark.operators.features import lookup, snapshot
 from riskspark.operators.scoring import score

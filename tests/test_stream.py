@@ -8,7 +8,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows_of
+from helpers import rows_of
 from riskspark.operators.assemble import add_features
 from riskspark.registry.rules import SCALED_RULES
 from riskspark.schemas import RAW_EVENT
