@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskspark.llm import decontaminate, licenses, line_dedup, packing, pii, quality_model, quality_rules, simhash, substring_dedup, toxicity
+from riskspark.llm import decontaminate, licenses, line_dedup, packing, periodic_runs, pii, quality_model, quality_rules, simhash, substring_dedup, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -122,3 +122,39 @@ def op7_pii(spark: SparkSession, folder: str) -> DataFrame:
 def op4_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     return quality_rules.judge(docs, quality_rules.learn(docs, table(spark, folder, "labels")))
+
+
+#: crc32 in SQL: the table of its 256 steps, and the checksum of a list of bytes.
+CRC_STEPS = """steps AS (SELECT list(v ORDER BY i) AS t FROM (
+  SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v
+  FROM range(256) AS r(i)))"""
+CRC_OF = "xor(list_reduce(list_prepend(4294967295, {bytes}), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295)"
+
+
+def _runs_sql() -> str:
+    digits = "list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda d: CAST(ascii(d) AS BIGINT))"
+    return f"""
+WITH {CRC_STEPS},
+cut AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words FROM documents),
+hashed AS (SELECT doc_id, words, CAST(len(words) AS BIGINT) AS n, {CRC_OF.format(bytes=digits)} AS h FROM cut, steps),
+chosen AS (SELECT *, h % 10 = 0 AND n > 0 AS hit, CASE WHEN n > 0 THEN (h // 10) % n END AS a FROM hashed),
+sized AS (SELECT *, 1 + (n - a) // (3 + (h // 10) % 8) AS p FROM chosen),
+w AS (SELECT doc_id, n, CASE WHEN hit THEN list_transform(range(n), lambda i: CASE WHEN i < a THEN words[i + 1] ELSE words[a + (i - a) % p + 1] END)
+                             ELSE words END AS words FROM sized),
+per_word AS (SELECT doc_id, n, i, words[i + 1] AS word FROM w, unnest(range(n)) AS r(i)),
+same AS (SELECT x.doc_id, x.i, y.i - x.i AS q FROM per_word x JOIN per_word y ON x.doc_id = y.doc_id AND x.word = y.word AND y.i > x.i AND 3 * (y.i - x.i) <= x.n),
+islands AS (SELECT doc_id, q, i, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS island FROM same),
+whole AS (SELECT doc_id, q, min(i) AS s, count(*) + q AS l FROM islands GROUP BY doc_id, q, island HAVING count(*) + q >= greatest(24, 3 * q)),
+runs AS (SELECT doc_id, s, l, min(q) AS q FROM whole GROUP BY doc_id, s, l),
+told AS (SELECT doc_id, count(*) AS n_runs, string_agg(s || ',' || l || ',' || q || chr(10), '' ORDER BY s, q) AS lines FROM runs GROUP BY doc_id),
+best AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY CAST(l AS DOUBLE) / q DESC, s, q) AS place FROM runs) WHERE place = 1),
+gone AS (SELECT DISTINCT doc_id, i FROM runs, unnest(range(s + q, s + l)) AS r(i)),
+kept AS (SELECT p.doc_id, string_agg(p.word, ' ' ORDER BY p.i) AS text FROM per_word p ANTI JOIN gone g ON p.doc_id = g.doc_id AND p.i = g.i GROUP BY p.doc_id)
+SELECT w.doc_id, w.n AS n_words, CAST(coalesce(n_runs, 0) AS BIGINT) AS n_runs, CAST(b.s AS BIGINT) AS start, CAST(b.l AS BIGINT) AS length, CAST(b.q AS BIGINT) AS period,
+       CAST(1000 * b.l // b.q AS BIGINT) AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(kept.text, '')) AS collapsed_sha256
+FROM w LEFT JOIN told USING (doc_id) LEFT JOIN best b USING (doc_id) LEFT JOIN kept USING (doc_id)"""
+
+
+@query("op13_periodic_runs", _runs_sql())
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    return periodic_runs.periodic_runs(table(spark, folder, "documents"), least=24, edit=periodic_runs.stuttered)
