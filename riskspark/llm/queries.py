@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from riskspark.llm import decontaminate, licenses, line_dedup, packing, periodic_runs, pii, quality_model, quality_rules, simhash, substring_dedup, toxicity
+from riskspark.llm import decontaminate, licenses, line_dedup, main_text, packing, periodic_runs, pii, quality_model, quality_rules, simhash, spelling, substring_dedup, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
@@ -158,3 +158,37 @@ FROM w LEFT JOIN told USING (doc_id) LEFT JOIN best b USING (doc_id) LEFT JOIN k
 @query("op13_periodic_runs", _runs_sql())
 def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
     return periodic_runs.periodic_runs(table(spark, folder, "documents"), least=24, edit=periodic_runs.stuttered)
+
+
+def _spelling_sql() -> str:
+    at = "strpos('123456789ABCDEF', substr(hex(encode(tagged)), {}, 1))"
+    octets = f"list_transform(range(octet_length(encode(tagged))), lambda i: CAST(16 * {at.format('2 * i + 1')} + {at.format('2 * i + 2')} AS BIGINT))"
+    return f"""
+WITH RECURSIVE {CRC_STEPS},
+spread AS (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]+')) AS run FROM documents),
+counted AS (SELECT doc_id, run, doc_id || ':' || run AS tagged, count(*) AS k FROM spread GROUP BY doc_id, run),
+hashed AS (SELECT run, k, length(run) AS l, {CRC_OF.format(bytes=octets)} AS h FROM counted, steps),
+edited AS (SELECT CASE WHEN h % 31 = 0 THEN left(run, h % l) || substr(run, h % l + 2) ELSE run END AS word, k FROM hashed),
+v AS (SELECT word, CAST(sum(k) AS BIGINT) AS n FROM edited WHERE length(word) >= 7 GROUP BY word HAVING sum(k) >= 2),
+holes AS (SELECT word, n, left(word, i) || '*' || substr(word, i + 2) AS hole, left(word, i) || substr(word, i + 2) AS less FROM v, unnest(range(length(word))) AS r(i)),
+near AS (
+  SELECT a.word, b.word AS other, b.n AS other_n FROM holes a JOIN holes b ON a.hole = b.hole AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM holes a JOIN v b ON a.less = b.word
+  UNION SELECT b.word, a.word, a.n FROM holes a JOIN v b ON a.less = b.word),
+ranked AS (SELECT word, other, other_n, row_number() OVER (PARTITION BY word ORDER BY other_n DESC, other) AS place, count(*) OVER (PARTITION BY word) AS n_near FROM near),
+forms AS (SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN other_n >= 10 * n THEN other END AS form, CASE WHEN other_n >= 10 * n THEN other_n END AS form_n
+          FROM v LEFT JOIN (SELECT * FROM ranked WHERE place = 1) r USING (word)),
+chain AS (SELECT word, word AS root, 0 AS depth FROM forms
+          UNION ALL SELECT c.word, f.form, depth + 1 FROM chain c JOIN forms f ON c.root = f.word WHERE f.form IS NOT NULL)
+SELECT word, any_value(n) AS n, any_value(n_near) AS n_near, any_value(form) AS form, any_value(form_n) AS form_n, arg_max(root, depth) AS root
+FROM forms JOIN chain USING (word) GROUP BY word"""
+
+
+@query("op11_spelling_variants", _spelling_sql())
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.spelling_groups(table(spark, folder, "documents"), shortest=7, least=2, ratio=10, edit=spelling.misspelt)
+
+
+@query("op12_html_main_text")
+def op12_html_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    return main_text.main_text(table(spark, folder, "pages"))
