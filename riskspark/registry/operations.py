@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from riskspark.operators.dedup import keep_latest_ties
-from riskspark.plans import maintenance, monitors, pii_audit, reconcile
+from riskspark.plans import hash_tree, maintenance, monitors, pii_audit, reconcile
 from riskspark.registry.base import DAY, DECIDED, ENRICHED, TX, num, register, with_ctes
 from riskspark.registry.rules import ALERTS, given_alerts
 from riskspark.schemas import nullable
@@ -176,8 +176,7 @@ RECON = """
 s AS (SELECT transaction_id FROM tx WHERE event_id % 41 <> 3), e AS (SELECT DISTINCT transaction_id FROM enr WHERE event_id % 37 <> 5), d AS (SELECT DISTINCT transaction_id FROM dec)"""
 
 
-@register(
-    "reconciliation",
+RECON_SQL = (
     with_ctes(*BASE, RECON, """
 c AS (SELECT (SELECT count(*) FROM s) AS source_ids, (SELECT count(*) FROM e) AS enriched_ids, (SELECT count(*) FROM d) AS decision_ids,
   (SELECT count(*) FROM s WHERE transaction_id NOT IN (SELECT transaction_id FROM e)) AS missing_enriched,
@@ -185,14 +184,25 @@ c AS (SELECT (SELECT count(*) FROM s) AS source_ids, (SELECT count(*) FROM e) AS
   (SELECT count(*) FROM e WHERE transaction_id NOT IN (SELECT transaction_id FROM d)) AS missing_decisions,
   (SELECT count(*) FROM d WHERE transaction_id NOT IN (SELECT transaction_id FROM e)) AS unexpected_decisions)""")
     + f"""SELECT *, {num('missing_enriched / CAST(source_ids AS DOUBLE)')} AS gap,
-  CASE WHEN missing_enriched / CAST(source_ids AS DOUBLE) <= 0.001 THEN 1 ELSE 0 END AS within_limit FROM c""",
+  CASE WHEN missing_enriched / CAST(source_ids AS DOUBLE) <= 0.001 THEN 1 ELSE 0 END AS within_limit FROM c"""
 )
+
+
+@register("reconciliation", RECON_SQL)
 def reconciliation(spark, folder):
     source = given.transactions(spark, folder).where(F.col("event_id") % 41 != 3)
     enriched = given.enriched_table(spark, folder).where(F.col("event_id") % 37 != 5)
     return reconcile.report(source, enriched, given.decision_table(spark, folder))
 
 
+@register("reconciliation_tree", RECON_SQL)
+def reconciliation_tree(spark, folder):
+    """The same row from hash trees: only ids of ranges that differ are compared one by one."""
+    source = given.transactions(spark, folder).where(F.col("event_id") % 41 != 3)
+    enriched = given.enriched_table(spark, folder).where(F.col("event_id") % 37 != 5)
+    return hash_tree.report(source, enriched, given.decision_table(spark, folder))
+
+
 @register(
     "missing_transactions",
     with_ctes(*BASE, RECON) + "SELECT transaction_id FROM s WHERE transaction_id NOT IN (SELECT transaction_id FROM e)",
