@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from riskspark.operators.dedup import latest_per_key
-from riskspark.plans import reports, views
+from riskspark.plans import reports, rollups, views
 from riskspark.registry.base import DECIDED, ENRICHED, TX, num, register, with_ctes
 from riskspark.registry.rules import SCALED_RULES
+from riskspark.session import stored
 from riskspark.sources import driver_tables as given
 
 BASE = (TX, ENRICHED, DECIDED)
@@ -75,6 +76,23 @@ def fraud_rate_window(spark, folder):
     return views.fraud_rate_daily(*both(spark, folder), start="2024-01-10", end="2024-01-16")
 
 
+@register(
+    "fraud_rate_rollup",
+    with_ctes(*BASE, JOINED)
+    + f"""SELECT channel, decision, count(*) AS transaction_count, {num('sum(e_amount)')} AS total_amount, {num('avg(fraud_score)')} AS avg_fraud_score,
+  1 AS p99_within FROM j WHERE decision_date BETWEEN '2024-01-03' AND '2024-03-31' GROUP BY ALL""",
+)
+def fraud_rate_rollup(spark, folder):
+    """Ninety days from daily roll-ups; `p99_within` says that the sketched p99 is within 1 % of its rank in all rows."""
+    rows = rollups.fraud_rate_rows(*both(spark, folder))
+    window = ("2024-01-03", "2024-03-31")
+    report = rollups.fraud_rate(stored(rollups.daily(rows, rollups.FRAUD_RATE)), *window)
+    inside = rows.where(F.col("decision_date").between(*window))
+    error = rollups.rank_error(report, inside, ["channel", "decision"], "p99_latency_ms", "latency_ms", 0.99)
+    within = (F.col("rank_error") <= 0.01).alias("p99_within")
+    return report.drop("p99_latency_ms").join(error.select("channel", "decision", within), ["channel", "decision"])
+
+
 @register(
     "rule_triggers_daily",
     with_ctes(*BASE)
