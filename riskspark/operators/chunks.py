@@ -5,38 +5,72 @@ keys and needs a single shuffle. Only keys with more than `HOT_ROWS` rows are
 cut into short time chunks. Their chunks are reduced to one row each before any
 shuffle, history is carried from chunk to chunk on those reduced rows, and the
 carried values are joined back on (key, chunk), which is how the rows are
-partitioned anyway. With no hot key the carried side is empty and adaptive
-execution drops the join.
+partitioned anyway. With no hot key the list is empty and the optimizer drops
+the carried side with all its steps.
+
+Hot keys come from one pass over the key columns with a mergeable summary of
+frequent items, which never misses a key with more than 3.5 / TRACKED of the
+rows. Its counts can be too high by that share; a key cut without need gives the
+same result.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StructField, StructType
 
 from riskspark.functions.clock import slot
 
 CHUNK_MS = 10_000
 HOT_ROWS = 1_000_000
 MAX_HOT_KEYS = 100_000  # bound of the broadcast list of hot keys
+TRACKED = 200_000  # items a summary holds, a few megabytes
+SUMMARIES, MERGED = 4096, 64  # tasks that make summaries, and that merge them before the last one does
 CHUNK = "_chunk"
 WHOLE_KEY = -1  # chunk number of keys that are not cut
 NULL_KEY_SPREAD = 4096
 
 
-def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys with so many rows that they must not stay in one task.
+def hot_key_lists(df: DataFrame, keys: dict[str, Column], hot_rows: int = HOT_ROWS) -> dict[str, DataFrame]:
+    """For each named key the values with so many rows that they must not stay in one task (column `_hot`).
 
     That is more than `hot_rows`, and more than a `MAX_HOT_KEYS`th of all rows,
     so there are never more than `MAX_HOT_KEYS` of them, however large the table.
-    Rows are counted on the map side, and only the key is read.
+    All keys are looked at in the same pass, which reads nothing but them and
+    runs when this is called.
     """
-    keyed = df.where(F.col(key).isNotNull()).select(F.col(key).alias("_hot"))
-    total = keyed.agg(F.count(F.lit(1)).alias("n")).scalar()
-    counted = keyed.groupBy("_hot").agg(F.count(F.lit(1)).alias("_n"))
-    return counted.where(F.col("_n") > F.greatest(F.lit(hot_rows), total / F.lit(MAX_HOT_KEYS))).select("_hot")
+    spark, number = df.sparkSession, range(len(keys))
+    narrow = df.select(*[key.alias(f"k{i}") for i, key in enumerate(keys.values())]).coalesce(SUMMARIES)
+    counts = [F.count(f"k{i}").alias(f"n{i}") for i in number]
+    made = narrow.groupBy((F.spark_partition_id() % MERGED).alias("part")).agg(
+        *counts, *[F.expr(f"approx_top_k_accumulate(k{i}, {TRACKED})").alias(f"s{i}") for i in number]
+    )
+    merged = made.groupBy(F.floor(F.col("part") / MERGED)).agg(  # one group, none without rows
+        *[F.sum(f"n{i}").alias(f"n{i}") for i in number],
+        *[F.expr(f"approx_top_k_combine(s{i}, {TRACKED})").alias(f"s{i}") for i in number],
+    )
+    limit = "greatest({rows}, n{i} / {keys})"
+    frequent = "filter(approx_top_k_estimate(s{i}, {keys}), x -> x.item IS NOT NULL AND x.count > " + limit + ").item"
+    found = merged.select(
+        *[F.expr(frequent.format(i=i, rows=hot_rows, keys=MAX_HOT_KEYS)).alias(f"hot{i}") for i in number]
+    )
+    lists = found.first() or [None for _ in number]
+    return {name: _listed(spark, lists[i] or [], narrow.schema[f"k{i}"].dataType) for i, name in enumerate(keys)}
+
+
+def _listed(spark: SparkSession, values: list, kind: DataType) -> DataFrame:
+    """The values as a table; one that the optimizer knows to be empty where there are none."""
+    if values:
+        return spark.createDataFrame([(value,) for value in values], StructType([StructField("_hot", kind)]))
+    return spark.range(1).where(F.lit(False)).select(F.lit(None).cast(kind).alias("_hot"))
+
+
+def hot_keys(df: DataFrame, key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """The hot values of one column."""
+    return hot_key_lists(df, {key: F.col(key)}, hot_rows)[key]
 
 
 def with_chunk(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskspark.functions.clock import DAY_MS, MINUTE_MS, minute_of
@@ -20,6 +20,11 @@ DEVICE_COLUMNS = [
 ]
 
 
+def device_key(key: str = "api_key_id") -> Column:
+    """The device, null where there is none."""
+    return F.when(~is_blank(F.col(key)), F.col(key))
+
+
 def device_features(
     df: DataFrame,
     key: str = "api_key_id",
@@ -28,7 +33,7 @@ def device_features(
     tiebreak: str = "transaction_id",
     known_fraud: DataFrame | None = None,
     history: DataFrame | None = None,
-    keys: DataFrame | None = None,
+    hot: DataFrame | None = None,
     idle_ms: int = IDLE_MS,
     hot_rows: int = chunks.HOT_ROWS,
     chunk_ms: int = chunks.CHUNK_MS,
@@ -36,15 +41,16 @@ def device_features(
     """Adds the device columns, `device_is_new` and `device_count_24h`; null without a device.
 
     `known_fraud` is an optional one-column table of device keys known for
-    fraud. Times are epoch milliseconds. `history` and `keys` are cheaper tables
-    with the same rows: one with all columns read here to reduce hot devices on,
-    one with at least the key to find them.
+    fraud. Times are epoch milliseconds. `history` is a cheaper table with
+    the same rows and all columns read here to reduce hot devices on, `hot` the
+    list of hot devices where it is known.
     """
     if MINUTE_MS % chunk_ms or chunk_ms >= idle_ms:
         raise ValueError("a chunk must divide a minute and be shorter than the idle time")
-    device = F.when(~is_blank(F.col(key)), F.col(key)).alias("_device")
+    device = device_key(key).alias("_device")
     source = (df if history is None else history).select(device, time_ms, country, tiebreak)
-    hot = chunks.hot_keys(source if keys is None else keys.select(device), "_device", hot_rows)
+    if hot is None:
+        hot = chunks.hot_keys(source, "_device", hot_rows)
     carry = _carry(source, time_ms, country, tiebreak, hot, idle_ms, chunk_ms)
 
     keyed = df.select("*", device, minute_of(F.col(time_ms)).alias("_minute"))

@@ -28,6 +28,7 @@ def velocity_features(
     tiebreak: str = "transaction_id",
     exact: bool = False,
     history: DataFrame | None = None,
+    hot: DataFrame | None = None,
     hot_rows: int = chunks.HOT_ROWS,
     chunk_ms: int = chunks.CHUNK_MS,
 ) -> DataFrame:
@@ -39,14 +40,16 @@ def velocity_features(
 
     A value is the running total minus the total of the rows too old for the
     window; both frames grow from the start, so the cost is linear. `history` is
-    a cheaper table with the same rows to count hot keys on.
+    a cheaper table with the same rows to reduce hot keys on, `hot` the list of
+    hot keys where it is known.
     """
     if exact:
         return _exact(df, key, time_ms, amount, tiebreak, hot_rows, chunk_ms)
     if MINUTE_MS % chunk_ms:
         raise ValueError("a chunk must divide a minute")
     source = df if history is None else history
-    hot = chunks.hot_keys(source, key, hot_rows)
+    if hot is None:
+        hot = chunks.hot_keys(source, key, hot_rows)
     carry = _carry(source, key, time_ms, amount, hot, chunk_ms)
     rows = chunks.with_chunk(df, key, time_ms, [tiebreak], hot, chunk_ms).withColumn("_minute", minute_of(F.col(time_ms)))
     # One sort by (minute, time, tiebreak) serves both selects.
