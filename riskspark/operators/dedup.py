@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from riskspark.session import cut_lineage
+from riskspark.session import stored
 
 
 def _single(df: DataFrame, keys: list[str], order: list[Column]) -> DataFrame:
@@ -35,25 +35,54 @@ def first_within(df: DataFrame, key: str, time_ms: str, tiebreak: str, ttl_ms: i
     """First row of each key, and again the first one at least `ttl_ms` after the last kept one.
 
     Copies do not prolong the time to live. Nearly every key ends within one
-    time to live and is settled by the first pass alone. Only keys that reappear
-    later go on to further passes, each of which keeps one instant per key, so
-    their number is the span of the data over `ttl_ms`, whatever the key sizes.
+    time to live and is settled by its first instant. For keys that reappear
+    later every instant is linked to the next one that would be kept after it
+    (`next_kept`), and those reachable from the first are found by doubling: in
+    round i links reach 2^i steps. So log2(span / ttl) rounds of one job each do,
+    whatever the number of keys and of copies, after one job that measures the
+    longest span and one that stores the links.
     """
-    instants = df.groupBy(key).agg(F.min(time_ms).alias("kept"), F.max(time_ms).alias("latest"))
-    settled = instants.select(key, F.col("kept").alias(time_ms))
-    open_keys = instants.where(F.col("latest") - F.col("kept") >= F.lit(ttl_ms)).select(key, "kept")
-    left = cut_lineage(_after_ttl(df.select(key, time_ms).distinct(), open_keys, key, time_ms, ttl_ms))
-    while not left.isEmpty():
-        kept = left.groupBy(key).agg(F.min(time_ms).alias("kept"))
-        settled = settled.unionByName(kept.select(key, F.col("kept").alias(time_ms)))
-        left = cut_lineage(_after_ttl(left, kept, key, time_ms, ttl_ms))
+    instants = df.groupBy(key).agg(F.min(time_ms).alias("first"), F.max(time_ms).alias("latest"))
+    again = instants.where(F.col("latest") - F.col("first") >= F.lit(ttl_ms))
+    span = again.agg(F.max(F.col("latest") - F.col("first"))).first()[0]
+    settled = instants.select(key, F.col("first").alias(time_ms))
+    if span is not None:
+        points = df.select(key, F.col(time_ms).alias("at")).distinct().join(again.select(key, "first"), key)
+        links = next_kept(points, key, ttl_ms).withColumn("reached", F.col("at") == F.col("first"))
+        links = stored(links.select(key, "at", "next", "reached"))
+        for _ in range((span // ttl_ms).bit_length()):
+            links = stored(_doubled(links, key))
+        settled = settled.unionByName(links.where("reached").select(key, F.col("at").alias(time_ms))).distinct()
     kept_rows = df.join(settled, [key, time_ms], "left_semi")
     return first_per_key(kept_rows, [key, time_ms], tiebreak)
 
 
-def _after_ttl(rows: DataFrame, kept: DataFrame, key: str, time_ms: str, ttl_ms: int) -> DataFrame:
-    joined = rows.join(kept, key).where(F.col(time_ms) >= F.col("kept") + F.lit(ttl_ms))
-    return joined.select(key, time_ms)
+def next_kept(points: DataFrame, key: str, ttl_ms: int) -> DataFrame:
+    """Adds `next` to distinct instants (`key`, `at`): the first instant of the key at least `ttl_ms` later, or null.
+
+    It lies in the slot of `at` + ttl, found by one ordered pass over the slot, or
+    else it is the first instant of a later slot. Windows hold the instants of a
+    key within one slot, or one row per slot of a key, never a whole key.
+    """
+    slotted = points.withColumn("slot", F.floor(F.col("at") / F.lit(ttl_ms)).cast("bigint"))
+    asks = slotted.withColumn("slot", F.col("slot") + 1).withColumn("when", F.col("at") + F.lit(ttl_ms)).withColumn("asks", F.lit(True))
+    both = asks.unionByName(slotted.withColumn("when", F.col("at")).withColumn("asks", F.lit(False)))
+    onward = Window.partitionBy(key, "slot").orderBy("when", F.col("asks").desc()).rowsBetween(0, Window.unboundedFollowing)
+    found = both.withColumn("inside", F.min(F.when(~F.col("asks"), F.col("when"))).over(onward)).where("asks").drop("when", "asks")
+    starts = slotted.groupBy(key, "slot").agg(F.min("at").alias("start"))
+    later = Window.partitionBy(key).orderBy("slot").rangeBetween(2, Window.unboundedFollowing)
+    beyond = starts.select(key, (F.col("slot") + 1).alias("slot"), F.min("start").over(later).alias("beyond"))
+    joined = found.join(beyond, [key, "slot"])
+    return joined.select(*points.columns, F.coalesce("inside", "beyond").alias("next"))
+
+
+def _doubled(links: DataFrame, key: str) -> DataFrame:
+    """Links twice as long, and what the links of reached instants reach."""
+    ahead = links.select(key, F.col("at").alias("next"), F.col("next").alias("after"))
+    longer = links.join(ahead, [key, "next"], "left").select(key, "at", F.col("after").alias("next"), "reached")
+    hit = links.where(F.col("reached") & F.col("next").isNotNull())
+    hit = hit.select(key, F.col("next").alias("at"), F.lit(None).cast("bigint").alias("next"), F.lit(True).alias("reached"))
+    return longer.unionByName(hit).groupBy(key, "at").agg(F.max("next").alias("next"), F.bool_or("reached").alias("reached"))
 
 
 def insert_ignore(existing: DataFrame, incoming: DataFrame, key: str, *order: str) -> DataFrame:

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskspark.functions.clock import MINUTE_MS, minute_of
+from riskspark.operators.prefix import largest_before
 from riskspark.plans.views import quantile
 
 # Latency buckets in ms and alert limits.
@@ -15,6 +16,7 @@ SILENT_MINUTES = 15
 FLAG_RATE_MINUTES = 5
 ALERTS_PER_SECOND = 100
 STALL_MS = 60_000
+MINUTE_BITS = 36  # minutes since 1970 have 25 bits today
 
 
 def window_start(time_ms: str, minutes: int) -> Column:
@@ -83,20 +85,20 @@ def stalled_watermark(df: DataFrame, at_ms: str, watermark_ms: str, limit_ms: in
     """Intervals longer than the limit in which no row moved the watermark forward.
 
     Rows are reduced to one per minute before anything is ordered over all of
-    them; only the rows that move the watermark decide where an interval ends.
+    them, and the order is worked out by blocks (`largest_before`); only the rows
+    that move the watermark decide where an interval ends.
     """
     at, mark = F.col(at_ms), F.col(watermark_ms)
     rows = df.select(minute_of(at).alias("minute"), at.alias("at"), mark.alias("mark"))
     per_minute = rows.groupBy("minute").agg(F.max("mark").alias("top"), F.max_by("at", F.struct("mark", -F.col("at"))).alias("last_at"))
-    in_order = Window.orderBy("minute")
-    reached = per_minute.select(
-        "minute", "last_at", "top", F.max("top").over(in_order.rowsBetween(Window.unboundedPreceding, -1)).alias("before")
-    ).where(F.col("before").isNull() | (F.col("top") > F.col("before")))
+    reached = largest_before(per_minute, "minute", "top", "before", MINUTE_BITS)
+    reached = reached.where(F.col("before").isNull() | (F.col("top") > F.col("before")))
     moving = rows.join(reached.select("minute", "before"), "minute").where(
         F.col("before").isNull() | (F.col("mark") > F.col("before"))
     )
     first = moving.groupBy("minute").agg(F.min("at").alias("first_at"))
-    steps = reached.join(first, "minute").select("first_at", F.lag("last_at").over(in_order).alias("from_ms"))
+    steps = reached.join(first, "minute").select("minute", "first_at", F.struct("minute", "last_at").alias("here"))
+    steps = largest_before(steps, "minute", "here", "prior", MINUTE_BITS).select("first_at", F.col("prior.last_at").alias("from_ms"))
     return steps.where(F.col("first_at") - F.col("from_ms") > limit_ms).select(
         "from_ms", F.col("first_at").alias("to_ms"), (F.col("first_at") - F.col("from_ms")).alias("stalled_ms")
     )
