@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from riskspark.functions import ip as ipf
+from riskspark.operators.geo_segments import flattened, levels_of, lookup
+from riskspark.session import stored
 
 GEO_COLUMNS = ["geo_country", "geo_city", "geo_network_class", "geo_confidence"]
 # Class and confidence of a hit where the reference table names none.
@@ -30,23 +32,20 @@ def subnet_bits(subnet: Column) -> Column:
     return ipf.all_bits(ipf.representative_host(subnet))
 
 
+def geo_pieces(ranges: DataFrame) -> DataFrame:
+    """The reference table flattened into disjoint pieces, stored for its readers."""
+    return stored(flattened(keyed_ranges(ranges), GEO_COLUMNS))
+
+
 def resolve_subnets(subnets: DataFrame, ranges: DataFrame, column: str) -> DataFrame:
-    """One row per distinct subnet with the attributes of the most specific range that holds it.
+    """One row per distinct subnet with the attributes of the most specific range that holds it, null if none does.
 
-    Every subnet is tried once per prefix length that occurs in the table (at
-    most 129), each time as an equality join on the prefix itself, so no pair of
-    a subnet and a range outside it is ever formed.
+    The ranges are flattened into disjoint pieces (`geo_segments`), and each
+    subnet finds its piece by one equality join, whatever prefix lengths occur.
     """
-    keyed = keyed_ranges(ranges)
-    lengths = keyed.select("_len").distinct()
-    bits = subnets.select(F.col(column), subnet_bits(F.col(column)).alias("_bits")).where(F.col("_bits").isNotNull())
-    known = lengths.agg(F.collect_set("_len").alias("_lens"))  # at most 129 small integers
-    tried = bits.select(
-        column, "_bits", F.explode(known.scalar()).alias("_len")
-    ).select(column, "_len", ipf.prefix_key(F.col("_bits"), F.col("_len")).alias("_prefix"))
-    hits = tried.join(keyed, ["_prefix", "_len"])
-    best = F.max_by(F.struct(*GEO_COLUMNS), F.struct("_len", *GEO_COLUMNS))
-    return hits.groupBy(column).agg(best.alias("_geo")).select(column, "_geo.*")
+    table = geo_pieces(ranges)
+    bits = subnets.select(F.col(column), subnet_bits(F.col(column)).alias("_bits"))
+    return lookup(bits, "_bits", table, GEO_COLUMNS, levels_of(table)).drop("_bits")
 
 
 def geo_enrich(df: DataFrame, ranges: DataFrame, subnet: str = "caller_ip_subnet") -> DataFrame:

@@ -149,6 +149,26 @@ def enriched_now(spark, folder):
     return assemble(featured, F.col("processing_ms") + F.col("event_id") % 7 + 3)
 
 
+V6_SQL = with_ctes(TX, """
+six AS (SELECT transaction_id, user_id % 25 AS n, k % 4 * 10 AS g FROM tx),
+named AS (
+  SELECT transaction_id, n, CASE WHEN g = 30 AND n % 4 = 1 THEN 'house' WHEN g = 20 AND n % 5 = 0 THEN 'street'
+    WHEN n % 3 <> 0 THEN 'city' WHEN n <> 24 THEN 'wide' END AS place FROM six)""") + """
+SELECT transaction_id, CASE WHEN place = 'wide' THEN 'V6' WHEN place IS NOT NULL THEN 'C' || n END AS geo_country,
+  CASE WHEN place = 'wide' THEN place ELSE n_name || '-' || place END AS geo_city,
+  CASE WHEN place IS NOT NULL THEN 'RESIDENTIAL' END AS geo_network_class FROM named JOIN nation ON n_nationkey = n"""
+
+
+@register("geo_enrich_v6", V6_SQL)
+def geo_v6(spark, folder):
+    """IPv6 subnets in nested ranges of 32, 48, 64 and 96 bits."""
+    group = "CASE WHEN user_id % 25 = 24 THEN 'db9' ELSE 'db8' END"
+    tx = given.transactions(spark, folder).selectExpr(
+        "transaction_id", f"concat('2001:', {group}, ':', user_id % 25, ':', k % 4 * 10, '::') AS caller_ip_subnet"
+    )
+    return geo_enrich(tx, given.geo_ranges_v6(spark, folder)).select("transaction_id", *GEO_COLUMNS[:3])
+
+
 @register(
     "enriched_transactions",
     with_ctes(*FULL_CTES)

@@ -89,6 +89,17 @@ def geo_ranges(spark: SparkSession, folder: str) -> DataFrame:
     return wide.unionByName(inner)
 
 
+def geo_ranges_v6(spark: SparkSession, folder: str) -> DataFrame:
+    """One network of 32 bits, and nested ones of 48, 64 and 96 bits for some nations."""
+    nation = table(spark, folder, "nation").selectExpr("n_nationkey AS n", "n_name", "CASE WHEN n_nationkey = 24 THEN 'db9' ELSE 'db8' END AS g")
+    inner = nation.selectExpr(
+        "*", "stack(3, 48, '::', '-city', n % 3 <> 0, 64, ':20::', '-street', n % 5 = 0, 96, ':30::', '-house', n % 4 = 1) AS (len, tail, suffix, there)"
+    ).where("there")
+    found = inner.selectExpr("concat('2001:', g, ':', n, tail) AS network", "len AS prefix_len", "concat('C', n) AS country", "concat(n_name, suffix) AS city")
+    wide = nation.where("n = 0").selectExpr("'2001:db8::' AS network", "32 AS prefix_len", "'V6' AS country", "'wide' AS city")
+    return wide.unionByName(found).selectExpr("*", "cast(null AS string) AS network_class", "cast(null AS float) AS confidence")
+
+
 def enriched_table(spark: SparkSession, folder: str) -> DataFrame:
     """A lake table in which every 10th transaction was written twice, the later copy with a higher amount."""
     copies = transactions(spark, folder).selectExpr(

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from riskspark.functions.coerce import is_blank
-from riskspark.functions.ip import prefix_key
-from riskspark.operators.geo import GEO_COLUMNS, keyed_ranges, subnet_bits
+from riskspark.operators.geo import GEO_COLUMNS, geo_pieces, subnet_bits
+from riskspark.operators.geo_segments import levels_of, lookup
 from riskspark.operators.velocity import WINDOWS
 from riskspark.schemas import nullable
 from riskspark.streaming import stateful
@@ -70,20 +70,10 @@ def with_device(events: DataFrame) -> DataFrame:
 
 
 def geo_by_subnet(events: DataFrame, ranges: DataFrame, subnet: str = "caller_ip_subnet") -> DataFrame:
-    """Geo columns of any subnet without state: one left equality join per prefix length of the table, the longest wins."""
-    keyed = keyed_ranges(ranges)
-    known = keyed.groupBy("_prefix", "_len").agg(F.max(F.struct(*GEO_COLUMNS)).alias("_geo"))
-    lengths = sorted((row[0] for row in keyed.select("_len").distinct().collect()), reverse=True)  # at most 129 numbers
+    """Geo columns of any subnet without state, by one join with the flattened ranges; every row comes out once."""
+    table = geo_pieces(ranges)
     placed = events.withColumn("_bits", subnet_bits(F.col(subnet)))
-    found = [F.lit(None).cast(known.schema["_geo"].dataType)]
-    for length in lengths:
-        own = known.where(F.col("_len") == length).select(
-            F.col("_prefix").alias(f"_prefix_{length}"), F.col("_geo").alias(f"_geo_{length}")
-        )
-        placed = placed.join(own, prefix_key(F.col("_bits"), F.lit(length)) == F.col(f"_prefix_{length}"), "left")
-        found.append(F.col(f"_geo_{length}"))
-    best = F.coalesce(*found)
-    return placed.select(*events.columns, *[best[name].alias(name) for name in GEO_COLUMNS])
+    return lookup(placed, "_bits", table, GEO_COLUMNS, levels_of(table)).select(*events.columns, *GEO_COLUMNS)
 
 
 def enriched_stream(events: DataFrame, ranges: DataFrame) -> DataFrame:
