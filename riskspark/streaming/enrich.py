@@ -14,7 +14,8 @@ from riskspark.schemas import nullable
 from riskspark.streaming import stateful
 
 EVENT_TIME = "event_time"
-KEY_SPREAD = 4096
+KEY_SPREAD = 256  # keys for rows without a device
+SEEN_BUCKETS = 4096  # keys for seen transactions; a stored stream keeps the number it began with
 
 
 def _stage(df: DataFrame, key, processor, added: T.StructType) -> DataFrame:
@@ -46,7 +47,9 @@ def watermarked(events: DataFrame) -> DataFrame:
 
 
 def first_seen(events: DataFrame) -> DataFrame:
-    return _stage(events, "transaction_id", stateful.FirstSeen(), T.StructType([]))
+    """The first row of each transaction within 48 h. Rows without an id are one transaction, as in a grouping."""
+    named = events.withColumn("seen_bucket", F.pmod(F.xxhash64("transaction_id"), F.lit(SEEN_BUCKETS)))
+    return _stage(named, "seen_bucket", stateful.FirstSeen(), T.StructType([])).drop("seen_bucket")
 
 
 def with_velocity(events: DataFrame) -> DataFrame:

@@ -57,29 +57,57 @@ class _Ordered(StatefulProcessor):
         pass
 
 
+SEEN_ID = T.StructType([T.StructField("id", T.StringType())])
+SEEN_AT = T.StructType([T.StructField("at", T.LongType())])
+
+
 class FirstSeen(_Ordered):
-    """Lets the first row of a transaction through; copies do not prolong the 48 h."""
+    """Lets the first row of a transaction through; copies do not prolong the 48 h.
+
+    A key is a bucket of transactions, with one entry per id, so a call handles many ids. Entries whose time is
+    over are dropped when the bucket's timer fires, an hour after the oldest of them at the latest.
+    """
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         super().init(handle)
-        self.seen = handle.getValueState("seen", T.StructType([T.StructField("at", T.LongType())]))
+        self.seen = handle.getMapState("seen", SEEN_ID, SEEN_AT)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         frame = self.sorted_rows(rows)
-        last = self.seen.get()[0] if self.seen.exists() else None
-        keep = []
-        for position, at in enumerate(frame[self.time].tolist()):
+        keep, known, changed = [], {}, set()
+        for position, (name, at) in enumerate(zip(frame["transaction_id"].tolist(), frame[self.time].tolist(), strict=True)):
+            if name not in known:
+                known[name] = self.seen.getValue((name,))[0] if self.seen.containsKey((name,)) else None
+            last = known[name]
             if last is None or at >= last + DEDUP_MS:
-                last = at
+                known[name] = int(at)
+                changed.add(name)
                 keep.append(position)
+        for name in changed:
+            self.seen.updateValue((name,), (known[name],))
         if keep:
-            self.seen.update((int(last),))
-            self.free_at(int(last) + DEDUP_MS)
+            if not self.timer.exists():
+                self._wake(min(known[name] for name in changed))
             yield frame.iloc[keep]
 
+    def _wake(self, oldest: int) -> None:
+        at = oldest + DEDUP_MS + HOUR_MS
+        self.handle.registerTimer(at)
+        self.timer.update((at,))
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        self.seen.clear()
+        now = timerValues.getCurrentWatermarkInMs()
+        over, left = [], []
+        for name, at in ((entry[0][0], entry[1][0]) for entry in self.seen.iterator()):
+            if at + DEDUP_MS <= now:
+                over.append(name)
+            else:
+                left.append(at)
+        for name in over:
+            self.seen.removeKey((name,))
         self.timer.clear()
+        if left:
+            self._wake(min(left))
         return iter(())
 
 

@@ -15,7 +15,7 @@ from riskspark.schemas import RAW_EVENT
 from riskspark.sources import driver_tables as given
 from riskspark.sources.lake import read_decisions, read_enriched
 from riskspark.sources.streams import file_stream
-from riskspark.streaming import job, live, sinks
+from riskspark.streaming import enrich, job, live, sinks
 
 COLUMNS = [c for c in RAW_EVENT.names if c != "schema_version"]
 COMPARED = ["vel_count_1m", "vel_count_5m", "vel_count_1h", "vel_count_24h", "vel_amount_1h", "vel_amount_24h", "geo_country",
@@ -31,6 +31,13 @@ def add_file(df, path):
     time.sleep(1.1)  # files are taken in the order of their modification times
 
 
+@pytest.fixture(autouse=True)
+def few_keys(monkeypatch):
+    """Small tables need few keys."""
+    monkeypatch.setattr(enrich, "SEEN_BUCKETS", 8)
+    monkeypatch.setattr(enrich, "KEY_SPREAD", 4)
+
+
 @pytest.fixture(scope="module")
 def ranges(spark, small, tmp_path_factory):
     path = str(tmp_path_factory.mktemp("geo") / "ranges")
