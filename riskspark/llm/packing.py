@@ -13,7 +13,9 @@ like any other row. Further columns are not read. An empty table gives an empty
 from __future__ import annotations
 
 import base64
+import json
 import random
+import re
 import sys
 import zlib
 from array import array
@@ -50,12 +52,15 @@ class Segments(dict):
 
     The tokenizer never joins across a space that is followed by other than white space, so such segments are
     tokenized alone and remembered, in two generations of bounded size: what a generation used moves on to the next.
-    None marks a segment that begins or ends with white space of its own.
+    None marks a segment that begins or ends with white space of its own. The strings of `added` tokens are cut out
+    before anything else, as the tokenizers file says, and have their own ids.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added: dict[str, int] | None = None):
         super().__init__()
         self.encode = encoding(path).encode_ordinary
+        self.added = {text: array("I", [number]).tobytes() for text, number in (added or {}).items()}
+        self.marks = re.compile("(" + "|".join(map(re.escape, sorted(self.added, key=len, reverse=True))) + ")") if self.added else None
         self.older: dict[str, bytes | None] = {}
 
     def ids(self, text: str) -> bytes:
@@ -76,6 +81,11 @@ class Segments(dict):
         return value
 
     def of(self, text: str) -> bytes:
+        if self.marks is not None and self.marks.search(text):
+            return b"".join(self.added[part] if part in self.added else self.plain(part) for part in self.marks.split(text) if part)
+        return self.plain(text)
+
+    def plain(self, text: str) -> bytes:
         segments = text.split(" ")
         parts = list(map(self.__getitem__, segments[1:]))
         if None in parts or segments[0] == "" or segments[0][-1:].isspace():
@@ -83,13 +93,27 @@ class Segments(dict):
         return self.ids(segments[0]) + b"".join(parts)
 
 
-def pieces(docs: DataFrame, capacity: int = 1024, end_id: int = 2, ranks: str | None = None) -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32 of every piece, and a salt that spreads the rows evenly."""
+@cache
+def added_tokens(path: str) -> dict[str, int]:
+    """The added tokens of a tokenizers file, which are found in plain text too. Files differ in how they trim around them."""
+    with open(path, encoding="utf-8") as file:
+        tokens = json.load(file)["added_tokens"]
+    if any(t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"] for t in tokens):
+        raise ValueError(f"added tokens of {path} need more than to be cut out")
+    return {t["content"]: t["id"] for t in tokens}
+
+
+def pieces(docs: DataFrame, capacity: int = 1024, end_id: int = 2, ranks: str | None = None, vocabulary: str | None = None) -> DataFrame:
+    """doc_id, piece, start, length, ids_crc32 of every piece, and a salt that spreads the rows evenly.
+
+    `ranks` and `vocabulary` are the rank file and the tokenizers file of one vocabulary.
+    """
     path = ranks or public_tokenizers.path("byte_bpe_50k.tiktoken")
+    added = added_tokens(vocabulary or public_tokenizers.path("byte_bpe_50k.json"))
     end = np.array([end_id], "<u4").tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        segments = Segments(path)
+        segments = Segments(path, added)
         for batch in batches:
             rows: list[tuple] = []
             for doc_id, text in zip(batch.column("doc_id").to_pylist(), utf8(batch.column("text")), strict=True):
