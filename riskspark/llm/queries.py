@@ -81,19 +81,23 @@ def op10_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _license_sql() -> str:
-    notices = ", ".join(f"('{label}', '{text}')" for label, text in licenses.NOTICES)
+    notices = ", ".join(str(tuple(notice)) for notice in licenses.NOTICES)
     cut = "regexp_extract_all(translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
     return f"""
-WITH notices AS (SELECT label, list_distinct({cut.format("text")}) AS tokens FROM (VALUES {notices}) AS v(label, text)),
+WITH notices AS (
+  SELECT label, list_distinct({cut.format("text")}) AS tokens, CAST(ceil(len({cut.format("text")}) / 0.8 - 1e-9) AS BIGINT) AS width,
+         string_split(must, ' ') AS must, string_split(lack, ' ') AS lack FROM (VALUES {notices}) AS v(label, text, must, lack)),
 w AS (SELECT doc_id, {cut.format("coalesce(text, '')")} AS words FROM documents),
 spots AS (SELECT doc_id, words, i FROM w, unnest(generate_series(1, len(words))) AS t(i) WHERE words[i] = 'license'),
 base AS (
   SELECT doc_id, i - 2 AS start, CASE WHEN words[i - 1] = 'mit' THEN 'mit' ELSE 'apache' END AS label FROM spots WHERE i > 1 AND words[i - 1] IN ('mit', 'apache')
   UNION ALL SELECT doc_id, i - 3, 'gpl' FROM spots WHERE i > 2 AND words[i - 1] = 'public' AND words[i - 2] = 'general'),
-lines AS (SELECT DISTINCT doc_id, list_distinct({cut.format("line")}) AS words FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line FROM documents)),
+told AS (SELECT w.doc_id, w.words, n.* FROM w, notices n WHERE list_has_all(w.words, n.must)),
+placed AS (SELECT *, unnest(range(1, len(words) + 1)) AS i FROM told),
+windows AS (SELECT doc_id, label, tokens, must, lack, list_slice(words, i, i + width - 1) AS block FROM placed WHERE list_contains(tokens, words[i])),
 blocks AS (
-  SELECT doc_id, label, len(list_intersect(words, tokens)) / len(tokens) AS share FROM lines, notices
-  WHERE len(list_intersect(words, tokens)) >= ceil(0.8 * len(tokens) - 1e-9)),
+  SELECT doc_id, label, len(list_intersect(list_distinct(block), tokens)) / len(tokens) AS share FROM windows
+  WHERE len(list_intersect(list_distinct(block), tokens)) >= ceil(0.8 * len(tokens) - 1e-9) AND list_has_all(block, must) AND NOT list_has_any(block, lack)),
 every AS (SELECT doc_id, label FROM base UNION SELECT doc_id, label FROM blocks),
 b AS (SELECT doc_id, count(*) AS n, min(start) AS lo, max(start) AS hi, string_agg(DISTINCT label, ',' ORDER BY label) AS labels FROM base GROUP BY doc_id),
 e AS (SELECT doc_id, string_agg(label, ',' ORDER BY label) AS labels FROM every GROUP BY doc_id),

@@ -128,7 +128,6 @@ def test_packing(spark, odd, none, some):
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
     for docs in (odd, some):
         want = Counter()
         for r in docs.select("doc_id", "text").collect():
@@ -156,12 +155,21 @@ def test_segments_equal_the_tokenizer():
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path("byte_bpe_50k.json"))
-    tokenizer.encode_special_tokens = True
-    segments = packing.Segments(path("byte_bpe_50k.tiktoken"))
-    for text in [" ", "a  b", "a \n b", "a\n b c", " x", "x ", "tab\t y", "don't 's x", "é ñ  ", "<|endoftext|> a", "1234 5 , . !! ||  |", "\n\n a", "a\n\n\nb", "a b  c"]:
+    segments = packing.Segments(path("byte_bpe_50k.tiktoken"), packing.added_tokens(path("byte_bpe_50k.json")))
+    for text in [" ", "a  b", "a \n b", "a\n b c", " x", "x ", "tab\t y", "don't 's x", "é ñ  ", "<|endoftext|> a", "<|endoftext|>", " <|endoftext|><|endoftext|> b c<|endoftext|>  d", "<|endoftext|", "1234 5 , . !! ||  |", "\n\n a", "a\n\n\nb", "a b  c"]:
         assert np.frombuffer(segments.of(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, text
 
 
+def test_added_tokens_of_a_text_keep_their_ids(spark):
+    from public_tokenizers import path
+    from tokenizers import Tokenizer
+
+    text = "one two<|endoftext|> three"
+    row = packing.pack(table(spark, [(1, text)])).first()
+    ids = np.array([*Tokenizer.from_file(path("byte_bpe_50k.json")).encode(text, add_special_tokens=False).ids, 2], "<u4")
+    assert (row["length"], row["ids_crc32"]) == (len(ids), zlib.crc32(ids.tobytes()))
+
+
 def test_decontamination(spark, odd, none):
     item = "Once Tom has 5 apples and Anna gives him 7 apples more, how many apples does Tom have after 3 days of eating 2kg each"
     same = item.replace("Tom", "Bob").replace("Anna", "Eve").replace("5", "9").replace("7", "4").replace("3", "6").replace("2kg", "8 kg")
@@ -219,13 +227,77 @@ def test_pii(spark, odd, none):
     assert places == ",".join(f"email:{7 * i}:{7 * i + 6}" for i in range(1000))
 
 
+def license_blocks(text, threshold=0.8):
+    """(start, label, share) of every block, from all windows of all notices."""
+    words = re.findall("[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+", text)
+    words = [re.sub("[A-Z]", lambda m: m[0].lower(), w) for w in words]
+    found = []
+    for label, notice, must, lack in licenses.NOTICES:
+        own = re.findall("[a-z0-9]+", notice.lower())
+        width = -(-len(own) * 10 // 8)
+        for start, word in enumerate(words):
+            block = set(words[start : start + width])
+            share = len(block & set(own)) / len(set(own))
+            if word in own and share >= threshold - 1e-9 and block >= set(must.split()) and not block & set(lack.split()):
+                found.append((start, label, round(share, 9)))
+    return sorted(found)
+
+
 def test_licenses(spark, odd, none):
-    rows = {r["doc_id"]: r for r in licenses.license_scan(table(spark, [(1, "so it is Released under the MIT License.\nx"), (2, "Licensed under\nCC BY-NC 4.0"), (3, "licensed under cc BY NC 4.0 today")])).collect()}
-    assert rows[1]["base_labels"] == "mit" and rows[1]["first_word"] == 6 and rows[1]["score"] == 1
-    assert rows[2]["labels"] == "" and "cc-by-nc" in rows[3]["labels"] and rows[3]["base_labels"] == ""
+    texts = [
+        ("so it is Released under the MIT License.\nx", "mit"),
+        ("Licensed under\nCC BY-NC 4.0", "cc-by-nc"),
+        ("licensed under CC BY 4.0", "cc-by"),
+        ("the shop is licensed under the city license office", ""),
+        ("Licensed under the Apache License, Version 2.0.", "apache"),
+        ("This work is licensed under the GNU General Public License, version 3.", "gpl"),
+        ("licensed under the GNU Lesser General\npublic license", "gpl,lgpl"),  # the phrase is there, so the base label stays
+        ("licensed under the GNU Affero general public license", "agpl,gpl"),
+        ("Permission is hereby granted, free of charge, to any\n person obtaining a copy of\nthis software and associated documentation files", "mit"),
+        ("This program is free software: you can redistribute it and/or modify\nit under the terms of the GNU General Public License", "gpl"),
+        ("the permission of free people to copy this", ""),
+    ]
+    rows = {r["doc_id"]: r for r in licenses.license_scan(table(spark, [(i, t) for i, (t, _) in enumerate(texts)])).collect()}
+    assert [rows[i]["labels"] for i in range(len(texts))] == [labels for _, labels in texts]
+    assert rows[0]["base_labels"] == "mit" and rows[0]["first_word"] == 6 and rows[0]["score"] == 1
+    assert rows[1]["base_labels"] == "" and 0.8 <= rows[1]["score"] <= 1
     assert licenses.license_scan(odd).count() == len(ODD) and licenses.license_scan(none).count() == 0
 
 
+def test_license_blocks_equal_all_windows(spark):
+    rng = np.random.default_rng(2)
+    notices = [re.findall("[A-Za-z0-9]+", text) for _, text, _, _ in licenses.NOTICES]
+    common = "the of a under license public general copy free to mit cc by sa nc lesser".split()
+    rows = []
+    for i in range(150):
+        words = []
+        for _ in range(rng.integers(1, 6)):
+            own = list(notices[rng.integers(len(notices))])
+            for _ in range(rng.integers(0, 5)):
+                at = int(rng.integers(len(own)))
+                own[at : at + int(rng.integers(0, 2))] = [str(rng.choice(common))]
+            words += own + [str(w) for w in rng.choice(common, rng.integers(0, 9))]
+        rows.append((i, "\n".join([" ".join(words[at : at + 7]) for at in range(0, len(words), 7)])))
+    found = {r["doc_id"]: sorted((b["start"], b["label"], round(b["share"], 9)) for b in r["blocks"]) for r in licenses.license_scan(table(spark, rows)).collect()}
+    assert found == {i: license_blocks(text) for i, text in rows}
+    assert sum(map(len, found.values())) > 200
+
+
+@pytest.mark.parametrize("folder", ["sf0.01", "sf0.1"])
+def test_license_lines_of_the_given_tables_get_their_label(spark, folder):
+    docs = spark.read.parquet(f"/root/testdata/{folder}/documents.parquet")
+    lines = {
+        "Licensed under the Apache License, Version 2.0.": "apache", "Released under the MIT License.": "mit", "Licensed under CC BY-NC 4.0.": "cc-by-nc",
+        "This work is licensed under the GNU General Public License, version 3.": "gpl", "All rights reserved": "proprietary",
+    }
+    texts = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
+    rows = licenses.license_scan(docs).filter("labels <> ''").collect()
+    for r in rows:
+        expected = {label for line, label in lines.items() if line in texts[r["doc_id"]]}
+        assert r["labels"] == ",".join(sorted(expected)), r["doc_id"]
+    assert {r["doc_id"] for r in rows} == {i for i, t in texts.items() if any(line in t for line in lines)}
+
+
 def distance(a, b):
     row = list(range(len(b) + 1))
     for i, x in enumerate(a, 1):
