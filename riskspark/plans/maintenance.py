@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -55,6 +57,43 @@ def expired_days(df: DataFrame, day: str, today: Column, years: int = RETENTION_
     return df.where(expired(F.col(day), today, years)).groupBy(day).agg(F.count(F.lit(1)).alias("rows"))
 
 
+def remove_expired_days(spark: SparkSession, path: str, partition: str, today: dt.date, years: int = RETENTION_YEARS, dry_run: bool = False) -> DataFrame:
+    """Deletes the day folders of a table that are past their retention, and reports them: day, files, bytes.
+
+    Only names are looked at: no file is read, and days that stay are not touched. A folder whose name is not a day of
+    this partition column is left alone. Running it again removes nothing more.
+    """
+    cutoff = _years_before(today, years)
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    root = hadoop.Path(path)
+    system = root.getFileSystem(spark._jsc.hadoopConfiguration())
+    removed = []
+    for status in system.listStatus(root) if system.exists(root) else []:
+        column, _, value = status.getPath().getName().partition("=")
+        day = _as_day(value)
+        if status.isDirectory() and column == partition and day is not None and day < cutoff:
+            summary = system.getContentSummary(status.getPath())
+            removed.append((day, summary.getFileCount(), summary.getLength()))
+            if not dry_run and not system.delete(status.getPath(), True):
+                raise OSError(f"could not delete {status.getPath()}")
+    return spark.createDataFrame(sorted(removed), "day date, files bigint, bytes bigint")
+
+
+def _as_day(text: str) -> dt.date | None:
+    try:
+        return dt.date.fromisoformat(text)
+    except ValueError:
+        return None
+
+
+def _years_before(day: dt.date, years: int) -> dt.date:
+    """As `add_months` does: the last of February where the year has no 29th."""
+    try:
+        return day.replace(year=day.year - years)
+    except ValueError:
+        return day.replace(year=day.year - years, day=28)
+
+
 def read_evolved(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """A table whose older files lack newer nullable columns; those read as null."""
     relaxed = T.StructType([T.StructField(f.name, f.dataType, True) for f in schema])

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -58,6 +62,11 @@ def content_findings(table_name: str, df: DataFrame, columns: list[str] | None =
     return marked.groupBy(*keys).agg(F.count(F.lit(1)).alias("matches"))
 
 
+def new_scan_id(day: dt.date, draw: Callable[[], str] = lambda: uuid.uuid4().hex) -> str:
+    """Id of a scan run: `audit-scan-`, the day, and eight random characters."""
+    return f"audit-scan-{day:%Y%m%d}-{draw()[:8]}"
+
+
 def audit(tables: dict[str, DataFrame], scan_id: str, scanned_at: Column) -> DataFrame:
     """Scan records of all tables, in the layout of the audit log."""
     findings = field_findings(tables)

@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
+from riskspark.operators import id_index
 from riskspark.operators.dedup import latest_per_key
 from riskspark.plans import reports, rollups, views
 from riskspark.registry.base import DECIDED, ENRICHED, TX, num, register, with_ctes
 from riskspark.registry.rules import SCALED_RULES
-from riskspark.session import stored
+from riskspark.session import shared_folder, stored
 from riskspark.sources import driver_tables as given
 
 BASE = (TX, ENRICHED, DECIDED)
@@ -51,6 +54,17 @@ def audit_lookup(spark, folder):
     return views.transaction_audit(*both(spark, folder), transaction_id="txn-000000000040")
 
 
+@register("audit_lookup_indexed", with_ctes(*BASE) + AUDIT_SQL + " WHERE e.transaction_id = 'txn-000000000040'")
+def audit_lookup_indexed(spark, folder):
+    """The same from tables laid out by id: one bucket of each is opened."""
+    sides = []
+    for df in both(spark, folder):
+        path = f"{shared_folder(spark)}/by-id-{uuid.uuid4().hex}"
+        id_index.write_indexed(df, "transaction_id", path)
+        sides.append(id_index.lookup(spark.read.parquet(path), "transaction_id", "txn-000000000040"))
+    return views.transaction_audit(*sides)
+
+
 @register(
     "fraud_rate_daily",
     with_ctes(*BASE, JOINED)

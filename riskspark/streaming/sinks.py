@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskspark.operators import id_index
 from riskspark.operators.decisions import as_stored
 from riskspark.operators.dedup import first_per_key
 from riskspark.operators.features import feature_views
@@ -71,12 +72,30 @@ def stored_before(spark, path: str, batch_id: int) -> DataFrame | None:
 
 
 def store_alerts(alert_rows: DataFrame, path: str, batch_id: int, inserted_at: Column) -> None:
-    """Insert-ignore by transaction: an alert already stored keeps its review."""
+    """Insert-ignore by transaction: an alert already stored keeps its review.
+
+    Known ids are kept beside the table in a layout for lookups (`id_index`), of which a batch reads the buckets of
+    its own ids. A table that was written without it gets its ids first.
+    """
+    spark, ids = alert_rows.sparkSession, f"{path}_ids"
     fresh = first_per_key(alert_rows, ["transaction_id"], "evaluation_timestamp", "severity")
-    stored = stored_before(alert_rows.sparkSession, path, batch_id)
-    if stored is not None:
-        fresh = fresh.join(stored.select("transaction_id"), "transaction_id", "left_anti")
+    known = id_index.read_indexed(spark, ids)
+    if known is None:
+        stored = stored_before(spark, path, batch_id)
+        if stored is not None:
+            id_index.write_indexed(stored.select("transaction_id").distinct(), "transaction_id", ids, -1)
+            known = id_index.read_indexed(spark, ids)
+    fresh = id_index.unknown(fresh, known, "transaction_id", batch_id)
     write_batch(as_stored(fresh, inserted_at), path, "alert_day", F.to_date("evaluation_timestamp"), batch_id)
+    written = stored_batch(spark, path, batch_id)
+    if written is not None:
+        id_index.write_indexed(written.select("transaction_id"), "transaction_id", ids, batch_id)
+
+
+def stored_batch(spark, path: str, batch_id: int) -> DataFrame | None:
+    """What this micro-batch stored."""
+    stored = stored_before(spark, path, batch_id + 1)
+    return None if stored is None else stored.where(F.col(BATCH) == batch_id)
 
 
 def publish_features(enriched: DataFrame, root: str, batch_id: int) -> None:
@@ -122,7 +141,7 @@ def logged(step: str, audit_path: str, write: Callable[[DataFrame, int], None])
             write(batch, batch_id)
         except Exception as error:
             spark = batch.sparkSession
-            row = [(step, batch_id, reason_of(error), str(error)[:500])]
+            row = [(step, batch_id, reason_of(error), str(error))]
             entry = spark.createDataFrame(row, "step string, batch_id bigint, reason string, message string")
             entry.withColumn("failed_at", F.current_timestamp()).write.mode("append").parquet(audit_path)
             raise
@@ -137,7 +156,7 @@ def deliver_alerts(
     try:
         deliver(alert_rows)
     except Exception as error:
-        letters = alert_envelopes(alert_rows, F.lit(str(error)[:500]), F.current_timestamp())
+        letters = alert_envelopes(alert_rows, F.lit(str(error)), F.current_timestamp())
         write_batch(letters, dlq_path, "failed_day", F.to_date("failed_at"), batch_id)
         return False
     return True
