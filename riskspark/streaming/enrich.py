@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from riskspark.functions.clock import minute_of
 from riskspark.functions.coerce import is_blank
+from riskspark.operators.decisions import latest_enriched
+from riskspark.operators.device import IDLE_MS, RECENT_MINUTES
 from riskspark.operators.geo import GEO_COLUMNS, geo_pieces, subnet_bits
 from riskspark.operators.geo_segments import levels_of, lookup
 from riskspark.operators.velocity import WINDOWS
 from riskspark.schemas import nullable
+from riskspark.session import stored
 from riskspark.streaming import stateful
 
 EVENT_TIME = "event_time"
@@ -18,14 +22,18 @@ KEY_SPREAD = 256  # keys for rows without a device
 SEEN_BUCKETS = 4096  # keys for seen transactions; a stored stream keeps the number it began with
 
 
-def _stage(df: DataFrame, key, processor, added: T.StructType) -> DataFrame:
-    """One keyed step. The event time is a plain column for it, so Spark drops no row as late."""
+def _stage(df: DataFrame, key, processor, added: T.StructType, seeds: DataFrame | None = None) -> DataFrame:
+    """One keyed step. The event time is a plain column for it, so Spark drops no row as late.
+
+    `seeds` has the rows a new query's state begins with, with the same key.
+    """
     plain = [T.StructField(f.name, f.dataType, True) for f in df.schema if not f.name.startswith("_key")]
     return df.groupBy(key).transformWithStateInPandas(
         statefulProcessor=processor,
         outputStructType=T.StructType([*plain, *added]),
         outputMode="Append",
         timeMode="EventTime",
+        initialState=None if seeds is None else seeds.groupBy(key),
     )
 
 
@@ -46,20 +54,59 @@ def watermarked(events: DataFrame) -> DataFrame:
     return clocked.withColumn(EVENT_TIME, F.timestamp_micros(F.unix_micros(EVENT_TIME)))
 
 
-def first_seen(events: DataFrame) -> DataFrame:
+def _bucket() -> Column:
+    return F.pmod(F.xxhash64("transaction_id"), F.lit(SEEN_BUCKETS))
+
+
+def first_seen(events: DataFrame, history: DataFrame | None = None) -> DataFrame:
     """The first row of each transaction within 48 h. Rows without an id are one transaction, as in a grouping."""
-    named = events.withColumn("seen_bucket", F.pmod(F.xxhash64("transaction_id"), F.lit(SEEN_BUCKETS)))
-    return _stage(named, "seen_bucket", stateful.FirstSeen(), T.StructType([])).drop("seen_bucket")
+    named = events.withColumn("seen_bucket", _bucket())
+    seeds = None if history is None else history.select(_bucket().alias("seen_bucket"), "transaction_id", F.col("event_ms").alias("at"))
+    return _stage(named, "seen_bucket", stateful.FirstSeen(), T.StructType([]), seeds).drop("seen_bucket")
 
 
-def with_velocity(events: DataFrame) -> DataFrame:
+def with_velocity(events: DataFrame, history: DataFrame | None = None) -> DataFrame:
     added = "lateness string, watermark_ms bigint"
     for _, label in WINDOWS:
         added += f", vel_count_{label} bigint, vel_units_{label} bigint"
-    return _stage(events, "account_id", stateful.Velocity(), nullable(added))
+    seeds = None if history is None else _minutes(history, "account_id")
+    return _stage(events, "account_id", stateful.Velocity(), nullable(added), seeds)
 
 
-def with_device(events: DataFrame) -> DataFrame:
+def _minutes(history: DataFrame, key: str) -> DataFrame:
+    """Minute buckets of the keys of stored rows; keys that are null have none."""
+    units = F.coalesce(F.sum((F.col("amount") * stateful.MONEY_UNITS).cast("bigint")), F.lit(0)).alias("units")
+    kept = history.where(F.col(key).isNotNull())
+    return kept.groupBy(key, minute_of(F.col("event_ms")).alias("minute")).agg(F.count(F.lit(1)).alias("n"), units)
+
+
+def _profiles(history: DataFrame) -> DataFrame:
+    """Minute buckets of devices, each with the device's profile as its latest row tells it.
+
+    Of each device the buckets of a day before its latest row are kept.
+    """
+    rows = history.where(~is_blank(F.col("api_key_id"))).withColumn("device_key", F.col("api_key_id"))
+    latest = F.max_by(
+        F.struct(
+            F.unix_millis("device_first_seen").alias("first_ms"), F.col("device_txn_count").cast("bigint").alias("total"),
+            F.col("event_ms").alias("last_ms"), F.col("geo_country").alias("country"),
+        ),
+        F.struct("event_ms", "transaction_id"),
+    )
+    profile = rows.groupBy("device_key").agg(latest.alias("p")).select("device_key", "p.*")
+    joined = _minutes(rows, "device_key").join(profile, "device_key")
+    return joined.where(F.col("minute") >= minute_of(F.col("last_ms")) - F.lit(RECENT_MINUTES + 1))
+
+
+def recent_history(enriched: DataFrame) -> DataFrame:
+    """The latest version of stored rows that a new query's state can still depend on: those within the idle time of a device."""
+    columns = ["transaction_id", "account_id", "event_time", "amount", "api_key_id", "geo_country", "device_first_seen", "device_txn_count"]
+    newest = enriched.agg(F.max("event_time").alias("at"))
+    since = newest.select(F.timestamp_millis(F.unix_millis("at") - F.lit(IDLE_MS))).scalar()
+    return latest_enriched(enriched.where(F.col("event_time") >= since), columns).withColumn("event_ms", F.unix_millis("event_time"))
+
+
+def with_device(events: DataFrame, history: DataFrame | None = None) -> DataFrame:
     """Rows without a device are spread over many keys; they have no state to share."""
     has_device = ~is_blank(F.col("api_key_id")) & (F.col("lateness") != "beyond")
     spread = F.concat(F.lit("none-"), F.pmod(F.xxhash64("transaction_id"), F.lit(KEY_SPREAD)).cast("string"))
@@ -69,7 +116,8 @@ def with_device(events: DataFrame) -> DataFrame:
     added = nullable(
         "device_first_ms bigint, device_txn_count bigint, prev_ms bigint, device_count_24h bigint, prev_geo_country string"
     )
-    return _stage(keyed, "device_key", stateful.Device(), added)
+    seeds = None if history is None else _profiles(history)
+    return _stage(keyed, "device_key", stateful.Device(), added, seeds)
 
 
 def geo_by_subnet(events: DataFrame, ranges: DataFrame, subnet: str = "caller_ip_subnet") -> DataFrame:
@@ -79,12 +127,17 @@ def geo_by_subnet(events: DataFrame, ranges: DataFrame, subnet: str = "caller_ip
     return lookup(placed, "_bits", table, GEO_COLUMNS, levels_of(table)).select(*events.columns, *GEO_COLUMNS)
 
 
-def enriched_stream(events: DataFrame, ranges: DataFrame) -> DataFrame:
-    """All enrichment columns; refused rows come along marked `lateness = 'beyond'`."""
-    fresh = first_seen(watermarked(events))
-    moving = with_velocity(fresh)
+def enriched_stream(events: DataFrame, ranges: DataFrame, history: DataFrame | None = None) -> DataFrame:
+    """All enrichment columns; refused rows come along marked `lateness = 'beyond'`.
+
+    `history` is the enriched table of earlier rows. A query without a checkpoint begins with the state they left
+    instead of empty windows; a query that goes on from its checkpoint does not look at it.
+    """
+    earlier = None if history is None else stored(recent_history(history))
+    fresh = first_seen(watermarked(events), earlier)
+    moving = with_velocity(fresh, earlier)
     placed = geo_by_subnet(moving, ranges)
-    return with_device(placed)
+    return with_device(placed, earlier)
 
 
 def as_features(batch: DataFrame) -> DataFrame:

@@ -109,10 +109,12 @@ def start(
     deliver: Callable[[DataFrame], None] | None = None,
     publish: Callable[[DataFrame], None] | None = None,
     trigger: dict | None = None,
+    history: DataFrame | None = None,
 ) -> StreamingQuery:
     """Starts the job on a stream of events. State, offsets and tables live under `root`.
 
-    `ranges` is the geo reference table; each micro-batch reads it anew.
+    `ranges` is the geo reference table, flattened when the query starts; restart it to take over a new one.
+    `history` is the enriched table that a query without a checkpoint takes its first state from.
 
     `deliver` gets each batch's alerts and `publish` its enriched rows as keyed
     JSON, for instance to write them to a topic; both may see a batch again
@@ -120,7 +122,7 @@ def start(
     """
     paths = Paths(root)
     write = sinks.logged("enrichment", paths.failures, batch_function(rules, paths, source_topic, deliver, publish))
-    stream = enriched_stream(events, ranges)
+    stream = enriched_stream(events, ranges, history)
     return (
         stream.writeStream.outputMode("append")
         .option("checkpointLocation", paths.checkpoint)

@@ -56,6 +56,13 @@ class _Ordered(StatefulProcessor):
     def close(self) -> None:
         pass
 
+    def handleInitialState(self, key, initialState: pd.DataFrame, timerValues) -> None:
+        """Takes over what `seed` worked out from stored rows; runs once per key, before the first batch of a new query."""
+        self.seed(initialState)
+
+    def seed(self, rows: pd.DataFrame) -> None:
+        raise NotImplementedError
+
 
 SEEN_ID = T.StructType([T.StructField("id", T.StringType())])
 SEEN_AT = T.StructType([T.StructField("at", T.LongType())])
@@ -90,6 +97,12 @@ class FirstSeen(_Ordered):
                 self._wake(min(known[name] for name in changed))
             yield frame.iloc[keep]
 
+    def seed(self, rows: pd.DataFrame) -> None:
+        for name, at in zip(rows["transaction_id"].tolist(), rows["at"].tolist(), strict=True):
+            self.seen.updateValue((name,), (int(at),))
+        if not self.timer.exists():
+            self._wake(int(rows["at"].min()))
+
     def _wake(self, oldest: int) -> None:
         at = oldest + DEDUP_MS + HOUR_MS
         self.handle.registerTimer(at)
@@ -156,6 +169,12 @@ def store_buckets(state, buckets, minutes: np.ndarray, units: np.ndarray, oldest
             state.updateValue((minute,), (known[0] + n, known[1] + total))
 
 
+def add_buckets(state, rows: pd.DataFrame) -> None:
+    """Stored minute buckets as they are; `rows` has minute, n, units."""
+    for minute, n, units in zip(rows["minute"].tolist(), rows["n"].tolist(), rows["units"].tolist(), strict=True):
+        state.updateValue((int(minute),), (int(n), int(units)))
+
+
 class Velocity(_Ordered):
     """Adds `lateness`, the velocity columns (amounts in units) and the watermark of the decision.
 
@@ -195,6 +214,10 @@ class Velocity(_Ordered):
             self.free_at(int(accepted[self.time].max()) + RETENTION_MS)
         yield pd.concat([accepted, refused], ignore_index=True)
 
+    def seed(self, rows: pd.DataFrame) -> None:
+        add_buckets(self.buckets, rows)
+        self.free_at((int(rows["minute"].max()) + 1) * MINUTE_MS + RETENTION_MS)
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         self.buckets.clear()
         self.timer.clear()
@@ -262,6 +285,12 @@ class Device(_Ordered):
         self.profile.update((int(start[-1]), int(count[-1]), int(times[-1]), countries[-1]))
         self.free_at(int(times[-1]) + IDLE_MS + 1)
 
+    def seed(self, rows: pd.DataFrame) -> None:
+        add_buckets(self.buckets, rows)
+        first, n, last, country = (rows[c].iloc[0] for c in ("first_ms", "total", "last_ms", "country"))
+        self.profile.update((int(first), int(n), int(last), country))
+        self.free_at(int(last) + IDLE_MS + 1)
+
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         self.profile.clear()
         self.buckets.clear()

@@ -45,9 +45,9 @@ def ranges(spark, small, tmp_path_factory):
     return spark.read.parquet(path)
 
 
-def run(spark, source, ranges, root, deliver=None, publish=None):
+def run(spark, source, ranges, root, deliver=None, publish=None, history=None):
     events = file_stream(spark, source, spark.read.parquet(source).schema, files_per_trigger=1)
-    query = job.start(events, ranges, SCALED_RULES, root, deliver=deliver, publish=publish, trigger={"availableNow": True})
+    query = job.start(events, ranges, SCALED_RULES, root, deliver=deliver, publish=publish, trigger={"availableNow": True}, history=history)
     assert query.awaitTermination(600)
     assert query.exception() is None
 
@@ -99,6 +99,21 @@ def test_stream_equals_batch_with_restart_late_rows_and_copies(spark, small, ran
         assert spark.read.parquet(f"{root}/features/{view}").count() == 1000
 
 
+def test_new_query_begins_with_the_state_of_stored_rows(spark, small, ranges, folder):
+    """Two queries, the second with its own checkpoint, give what one run over all rows gives."""
+    tx = events_of(spark, small).where("event_id < 500")
+    add_file(tx.where("event_id < 250"), f"{folder}/in")
+    add_file(tx.where("event_id >= 240"), f"{folder}/next")  # ten copies of rows the first query has seen
+    run(spark, f"{folder}/in", ranges, f"{folder}/out")
+    before = read_enriched(spark, f"{folder}/out/enriched")
+    run(spark, f"{folder}/next", ranges, f"{folder}/out2", history=before)
+    after = read_enriched(spark, f"{folder}/out2/enriched")
+    got = before.select("transaction_id", *COMPARED).unionByName(after.select("transaction_id", *COMPARED))
+    expected = add_features(tx, given.geo_ranges(spark, small)).select("transaction_id", *COMPARED)
+    assert after.count() == 250 and got.count() == 500
+    assert expected.exceptAll(got).count() == 0
+
+
 def test_late_row_corrects_stored_rows(spark, small, ranges, folder):
     """A row 20 s behind the newest is late but accepted; rows after it are emitted again."""
     source, root = f"{folder}/in", f"{folder}/out"
