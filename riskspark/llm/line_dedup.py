@@ -4,7 +4,12 @@ A cyclic-polynomial rolling hash over the hashes of neighbouring lines chooses w
 only the boundaries next to it. Chunks of two or more lines with a word that occur again anywhere are compared byte by
 byte with their first occurrence, and equal ones are removed. First is the smallest doc_id, then the first place.
 
-Only hashes and places travel for the count, pre-aggregated per task. Texts travel once to take out the repeated chunks
+A passage need not hold a whole chunk, and its edges are seldom boundaries. So what is left is cut once more, into the smallest
+chunks there are: every two neighbouring lines with a word (and the blank lines between). Later copies of a repeated chunk do
+not send theirs, as the first copy does. With both, every line of a passage of two worded lines or more that an
+earlier place has is removed. A chunk that overlaps its first occurrence in the same text stays.
+
+Only hashes and places travel for the counts, pre-aggregated per task. Texts travel once to take out the repeated chunks
 and once to be written without them.
 
 Nulls and ties: null text has no lines and stays null. A null doc_id comes after all others. Rows that repeat both doc_id
@@ -14,7 +19,7 @@ pass through, whatever their names. An empty table gives an empty result.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskspark.session import stored
@@ -39,17 +44,41 @@ def chunk_starts(hashes: Column, mean_lines: int) -> Column:
     return F.filter(numbers, begins)
 
 
-def chunks(rows: DataFrame, mean_lines: int) -> DataFrame:
-    """`rows` (with column text) exploded to start, stop, hash of their chunks that have two or more lines with a word."""
-    lines = rows.withColumn("lines", F.split("text", "\n", -1)).drop("text")
-    lines = lines.withColumn("hashes", line_hashes(F.col("lines"))).withColumn("worded", F.transform("lines", lambda line: (F.trim(line) != "").cast("int")))
-    starts = lines.withColumn("starts", chunk_starts(F.col("hashes"), mean_lines)).drop("lines")
+def profiles(rows: DataFrame, mean_lines: int) -> DataFrame:
+    """doc_id, text_key, hashes of the lines, spots (numbers of the lines with a word) and chunks with two or more of them."""
+    lines = rows.filter("text IS NOT NULL").select("doc_id", "text_key", F.split("text", "\n", -1).alias("lines"))
+    numbers = F.transform("lines", lambda _, at: at)
+    lines = lines.select("doc_id", "text_key", line_hashes(F.col("lines")).alias("hashes"), F.filter(numbers, lambda at: F.trim(F.get("lines", at)) != "").alias("spots"))
+    starts = lines.withColumn("starts", chunk_starts(F.col("hashes"), mean_lines))
     each = F.transform("starts", lambda start, at: F.struct(start.alias("start"), F.coalesce(F.get("starts", at + 1), F.size("hashes")).alias("stop")))
-    each = F.filter(each, lambda c: c["stop"] - c["start"] > 1)
-    found = starts.withColumn("chunk", F.explode(each)).select("*", "chunk.*")
-    part = lambda name: F.slice(name, F.col("start") + 1, F.col("stop") - F.col("start"))
-    found = found.filter(F.aggregate(part("worded"), F.lit(0), lambda a, b: a + b) > 1).withColumn("hash", F.xxhash64(part("hashes")))
-    return found.drop("chunk", "starts", "hashes", "worded")
+    each = F.filter(each, lambda c: F.size(F.filter("spots", lambda at: (at >= c["start"]) & (at < c["stop"]))) > 1)
+    return starts.select("doc_id", "text_key", "hashes", "spots", each.alias("chunks")).filter(F.size("spots") > 1)
+
+
+def hashed(found: DataFrame, kind: int) -> DataFrame:
+    """doc_id, text_key, start, stop, hash of the spans in column `spans`; `kind` keeps hashes of different cuts apart."""
+    each = found.select("doc_id", "text_key", "hashes", F.explode("spans").alias("span"))
+    part = F.slice("hashes", F.col("span.start") + 1, F.col("span.stop") - F.col("span.start"))
+    return each.select("doc_id", "text_key", "span.*", F.xxhash64(part, F.lit(kind)).alias("hash"))
+
+
+def repeats(found: DataFrame) -> DataFrame:
+    """The places of what occurs more than once, with is_first, and is_apart where a later place does not overlap the first."""
+    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key", "start", "stop")
+    repeated = stored(found.groupBy("hash").agg(F.min(place).alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n"))
+    listed = found.join(repeated, "hash").withColumn("is_first", place == F.col("first"))
+    own = (F.col("text_key") == F.col("first.text_key")) & F.col("doc_id").eqNullSafe(F.col("first.doc_id"))
+    return listed.withColumn("is_apart", ~own | (F.col("start") >= F.col("first.stop"))).drop("first")
+
+
+def merged(spans: DataFrame) -> DataFrame:
+    """doc_id, text_key, removed: the spans of each text in order, those that overlap or touch made one."""
+    before = Window.partitionBy("doc_id", "text_key").orderBy("start", "stop").rowsBetween(Window.unboundedPreceding, -1)
+    begins = spans.withColumn("begins", F.coalesce((F.col("start") > F.max("stop").over(before)).cast("int"), F.lit(1)))
+    upto = Window.partitionBy("doc_id", "text_key").orderBy("start", "stop").rowsBetween(Window.unboundedPreceding, 0)
+    islands = begins.withColumn("island", F.sum("begins").over(upto)).groupBy("doc_id", "text_key", "island")
+    islands = islands.agg(F.min("start").alias("start"), F.max("stop").alias("stop"))
+    return islands.groupBy("doc_id", "text_key").agg(F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("removed"))
 
 
 def dedup_lines(docs: DataFrame, mean_lines: int = 4) -> DataFrame:
@@ -57,19 +86,26 @@ def dedup_lines(docs: DataFrame, mean_lines: int = 4) -> DataFrame:
     rows = docs.select(F.struct("*").alias("row"))
     rows = rows.withColumn("doc_id", F.col("row.doc_id")).withColumn("text", F.col("row.text").cast("string")).withColumn("text_key", F.xxhash64("text"))
     keyed = rows.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", "text_key")
-    place = F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "text_key", "start")
-    found = stored(chunks(keyed, mean_lines))
-    repeated = found.groupBy("hash").agg(F.min(place).alias("first"), F.count("*").alias("n")).filter("n > 1").drop("n")
-    listed = found.join(repeated, "hash").withColumn("is_first", place == F.col("first"))
-    listed = listed.groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("start", "stop", "hash", "is_first")).alias("chunks"))
+    place = ["doc_id", "text_key"]
+    known = stored(profiles(keyed, mean_lines).dropDuplicates(place))
+    long = stored(repeats(hashed(known.withColumn("spans", F.col("chunks")), 0)))
+
+    copied = long.filter("NOT is_first AND is_apart").groupBy(*place).agg(F.collect_list(F.struct("start", "stop")).alias("copied"))
+    copied = copied.select(F.col("doc_id").alias("of_id"), F.col("text_key").alias("of_key"), "copied")
+    left = known.join(copied, (F.col("text_key") == F.col("of_key")) & F.col("doc_id").eqNullSafe(F.col("of_id")), "left")
+    numbers = F.sequence(F.lit(0), F.size("spots") - 2)
+    pairs = F.transform(numbers, lambda at: F.struct(F.get("spots", at).alias("start"), (F.get("spots", at + 1) + 1).alias("stop")))
+    inside = lambda pair: F.exists("copied", lambda c: (c["start"] <= pair["start"]) & (pair["stop"] <= c["stop"]))
+    left = left.withColumn("spans", F.filter(pairs, lambda pair: ~F.coalesce(inside(pair), F.lit(False))))
+    short = repeats(hashed(left, 1))
+    listed = long.unionByName(short).groupBy(*place).agg(F.collect_set(F.struct("start", "stop", "hash", "is_first", "is_apart")).alias("chunks"))
     listed = listed.select(F.col("doc_id").alias("of_id"), F.col("text_key").alias("of_key"), "chunks")
 
-    texts = keyed.join(listed, (F.col("text_key") == F.col("of_key")) & F.col("doc_id").eqNullSafe(F.col("of_id"))).dropDuplicates(["doc_id", "text_key"])
-    texts = texts.select("doc_id", "text_key", F.split("text", "\n", -1).alias("lines"), F.explode("chunks").alias("c"))
-    texts = stored(texts.select("doc_id", "text_key", "c.*", F.array_join(F.slice("lines", F.col("c.start") + 1, F.col("c.stop") - F.col("c.start")), "\n").alias("bytes")))
-    firsts = texts.filter("is_first").select("hash", F.col("bytes").alias("first_bytes")).distinct()
-    gone = texts.filter("NOT is_first").join(firsts, "hash").filter("bytes = first_bytes")
-    gone = gone.groupBy("doc_id", "text_key").agg(F.sort_array(F.collect_set(F.struct("start", "stop"))).alias("removed"))
+    texts = keyed.join(listed, (F.col("text_key") == F.col("of_key")) & F.col("doc_id").eqNullSafe(F.col("of_id"))).dropDuplicates(place)
+    texts = texts.select(*place, F.split("text", "\n", -1).alias("lines"), F.explode("chunks").alias("c"))
+    texts = stored(texts.select(*place, "c.*", F.array_join(F.slice("lines", F.col("c.start") + 1, F.col("c.stop") - F.col("c.start")), "\n").alias("bytes")))
+    firsts = stored(texts.filter("is_first").select("hash", F.col("bytes").alias("first_bytes")).distinct())
+    gone = merged(texts.filter("NOT is_first AND is_apart").join(firsts, "hash").filter("bytes = first_bytes").select(*place, "start", "stop"))
     gone = gone.select(F.col("doc_id").alias("of_id"), F.col("text_key").alias("of_key"), "removed")
 
     joined = rows.join(gone, (F.col("text_key") == F.col("of_key")) & F.col("doc_id").eqNullSafe(F.col("of_id")), "left")
@@ -82,7 +118,7 @@ def dedup_lines(docs: DataFrame, mean_lines: int = 4) -> DataFrame:
 
 
 def line_report(docs: DataFrame, mean_lines: int = 4) -> DataFrame:
-    """Per input row: doc_id, n_lines, n_removed, n_chunks (removed ones), removed (start-stop, comma-joined), kept_sha256."""
+    """Per input row: doc_id, n_lines, n_removed, n_chunks (removed stretches), removed (start-stop, comma-joined), kept_sha256."""
     found = dedup_lines(docs, mean_lines)
     gone = F.aggregate("removed", F.lit(0).cast("bigint"), lambda a, c: a + c["stop"] - c["start"])
     return found.select(
