@@ -7,8 +7,8 @@ The windows are counted in Spark, but most need not travel. Each window chooses
 in it, its anchor. Equal windows choose equal anchors, so a window whose anchor is in one document only cannot repeat.
 Neighbouring windows with one anchor form a run. Runs are counted first; only the first copy of a run sends its windows.
 Copies of a whole document are found by the digest of their words before all that. Counts are partial before each
-shuffle, so a passage or text that fills a third of the table is a few rows per task. Windows are compared by two
-independent 64-bit hashes.
+shuffle, so a passage or text that fills a third of the table is a few rows per task. Windows and runs are compared by two
+64-bit hashes.
 
 Nulls and ties: null text is empty; rows with a null doc_id keep all words and are nobody's earlier document. Rows with
 one doc_id do not remove each other's passages. Documents with fewer than `width` words lose nothing. Further columns
@@ -31,7 +31,7 @@ from riskspark.session import stored
 #: Base of the second window hash.
 SECOND = BASE ^ 0x5555_5555_5555_5554
 
-PROFILE = "doc_id bigint, text_key bigint, n_words bigint, kept_sha256 string, anchors array<bigint>, runs array<bigint>, starts array<int>"
+PROFILE = "doc_id bigint, text_key bigint, n_words bigint, kept_sha256 string, anchors array<bigint>, runs array<bigint>, seconds array<bigint>, starts array<int>"
 
 
 def digest(words: list[bytes]) -> str:
@@ -62,15 +62,15 @@ def run_starts(places: np.ndarray) -> np.ndarray:
 
 def _profiles(width: int, gram: int):
     def profile(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache, powers = WordHashes(), Powers()
+        cache, powers, second = WordHashes(), Powers(), Powers(SECOND)
         for batch in batches:
-            counts, digests, anchors, runs, starts = [], [], [], [], []
+            counts, digests, anchors, runs, seconds, starts = [], [], [], [], [], []
             for text in utf8(batch.column("text")):
                 words = text.split()
                 counts.append(len(words))
                 digests.append(digest(words))
                 if len(words) < width:
-                    for kept in (anchors, runs, starts):
+                    for kept in (anchors, runs, seconds, starts):
                         kept.append(np.zeros(0, np.int64))
                     continue
                 hashes = cache.of(words)
@@ -79,6 +79,7 @@ def _profiles(width: int, gram: int):
                 last = np.append(first[1:], len(places)) - 1
                 anchors.append(chosen[first].view(np.int64))
                 runs.append((powers.spans(hashes, first, last + width) + mixed(last - first + 1)).view(np.int64))
+                seconds.append(second.spans(mixed(hashes), first, last + width).view(np.int64))
                 starts.append(first)
             yield pa.RecordBatch.from_arrays(
                 [
@@ -88,9 +89,10 @@ def _profiles(width: int, gram: int):
                     pa.array(digests, pa.string()),
                     ragged(anchors, np.int64),
                     ragged(runs, np.int64),
+                    ragged(seconds, np.int64),
                     ragged(starts, np.int32),
                 ],
-                names=["doc_id", "text_key", "n_words", "kept_sha256", "anchors", "runs", "starts"],
+                names=["doc_id", "text_key", "n_words", "kept_sha256", "anchors", "runs", "seconds", "starts"],
             )
 
     return profile
@@ -170,7 +172,7 @@ def repeated_passages(docs: DataFrame, width: int = 50, gram: int = 12) -> tuple
     texts = docs.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string"))
     profiles = stored(texts.mapInArrow(_profiles(width, gram), PROFILE))
     whole = profiles.groupBy("kept_sha256").agg(F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id")).filter("first_id < last_id")
-    profile = profiles.drop("anchors", "runs", "starts").join(whole.drop("last_id"), "kept_sha256", "left")
+    profile = profiles.drop("anchors", "runs", "seconds", "starts").join(whole.drop("last_id"), "kept_sha256", "left")
     profile = profile.withColumn("whole_copy", F.coalesce((F.col("n_words") >= width) & (F.col("doc_id") > F.col("first_id")), F.lit(False))).drop("first_id")
 
     # One profile for each distinct text of a document; whole copies have nothing that their first document lacks.
@@ -181,6 +183,7 @@ def repeated_passages(docs: DataFrame, width: int = 50, gram: int = 12) -> tuple
         "text_key",
         F.posexplode("anchors").alias("i", "anchor"),
         F.col("runs"),
+        F.col("seconds"),
         F.col("starts"),
         (F.col("n_words") - width + 1).cast("int").alias("n_windows"),
     ).select(
@@ -188,13 +191,15 @@ def repeated_passages(docs: DataFrame, width: int = 50, gram: int = 12) -> tuple
         "text_key",
         "anchor",
         F.get("runs", "i").alias("run"),
+        F.get("seconds", "i").alias("second"),
         F.get("starts", "i").alias("start"),
         F.coalesce(F.get("starts", F.col("i") + 1), "n_windows").alias("stop"),
     )
-    shared = runs.groupBy("anchor").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter("low < high").select("anchor")
+    # What is counted is stored before it is joined, so that adaptive execution can split the rows of a hot anchor or run.
+    shared = stored(runs.groupBy("anchor").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter("low < high").select("anchor"))
     runs = stored(runs.join(shared, "anchor").drop("anchor"))
-    first_run = runs.groupBy("run").agg(F.min("doc_id").alias("first_id"))
-    runs = stored(runs.join(first_run, "run").withColumn("copied", F.col("doc_id") > F.col("first_id")).drop("run", "first_id"))
+    first_run = stored(runs.groupBy("run", "second").agg(F.min("doc_id").alias("first_id")))
+    runs = stored(runs.join(first_run, ["run", "second"]).withColumn("copied", F.col("doc_id") > F.col("first_id")).drop("run", "second", "first_id"))
 
     listed = runs.filter("NOT copied").groupBy("doc_id", "text_key").agg(F.collect_list("start").alias("starts"))
     windows = stored(texts.join(listed, "doc_id").mapInArrow(_windows(width, gram), "one bigint, two bigint, doc_id bigint, text_key bigint, place bigint"))
