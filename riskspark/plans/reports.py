@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from riskspark.operators.decisions import active_triggers
@@ -127,6 +127,46 @@ def model_compare(decisions: DataFrame, version_a: str, version_b: str, start=No
     return kinds.groupBy(views.DECISION_DAY).agg(*sides).orderBy(views.DECISION_DAY)
 
 
+def score_histogram(decisions: DataFrame, bins: int = 20, start=None, end=None) -> DataFrame:
+    """Decisions per model version and score interval of equal width; a score of 1 is in the last, empty ones are left out.
+
+    Scores below 0 or above 1 are counted in the first and last interval; decisions without a score in none.
+    """
+    current = views.current_decisions(decisions, start, end).where(F.col("fraud_score").isNotNull())
+    place = F.greatest(F.lit(0), F.least(F.lit(bins - 1), F.floor(F.col("fraud_score") * bins).cast("int")))
+    counted = current.groupBy("model_version", place.alias("bin")).agg(F.count(F.lit(1)).alias("decisions"))
+    total = F.sum("decisions").over(Window.partitionBy("model_version"))
+    return counted.select(
+        "model_version", "bin", (F.col("bin") / bins).alias("low"), ((F.col("bin") + 1) / bins).alias("high"),
+        "decisions", (F.col("decisions") / total).alias("share"),
+    )
+
+
+def channel_fraud(enriched: DataFrame, decisions: DataFrame, start=None, end=None) -> DataFrame:
+    """Transactions, blocked ones and their share per channel."""
+    grouped = _breakdown(enriched, decisions, "channel", start, end)
+    return grouped.withColumn("fraud_rate", F.col("fraud_count") / F.col("transactions"))
+
+
+def newest_decision(decisions: DataFrame) -> Column:
+    """The time a rolling window of stored decisions ends at, where no clock is given."""
+    return decisions.agg(F.max("decision_time_ms").alias("at")).scalar()
+
+
+def rolling_decisions(decisions: DataFrame, hours: int, now: Column | None = None) -> DataFrame:
+    """Latest decisions of the last `hours` up to `now`, for the reports that read decisions only: 1, 24 and 7 * 24 hours on the pages."""
+    return views.recent_decisions(decisions, newest_decision(decisions) if now is None else now, hours)
+
+
+def rolling(
+    report: Callable[..., DataFrame], enriched: DataFrame, decisions: DataFrame, hours: int, now: Column | None = None, **options
+) -> DataFrame:
+    """A report over both tables for a rolling window; only the window's transactions are deduplicated."""
+    recent = rolling_decisions(decisions, hours, now)
+    wanted = enriched.join(recent.select("transaction_id"), "transaction_id", "left_semi")
+    return report(wanted, recent, **options)
+
+
 def top_scored(enriched: DataFrame, decisions: DataFrame, limit: int = 20) -> DataFrame:
     """Decisions with features, highest score first; copies are not removed here."""
     joined = enriched.select("transaction_id", "account_id", "amount", "vel_count_1h").join(

@@ -19,6 +19,7 @@ ACCURACY = 100_000
 DECISION_DAY = "decision_date"
 DECIDED_COLUMNS = ("transaction_id", "decision", "fraud_score", "decision_time_ms", "latency_ms", "decision_day")
 
+# Columns of the audit view, in its order.
 AUDIT_ENRICHED = [
     "transaction_id", "account_id", "merchant_id", "amount", "currency", "channel", "event_time",
     "enrichment_time", "geo_country", "geo_city", "geo_network_class", "geo_confidence",

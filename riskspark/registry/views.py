@@ -60,8 +60,8 @@ def audit_lookup_indexed(spark, folder):
     sides = []
     for df in both(spark, folder):
         path = f"{shared_folder(spark)}/by-id-{uuid.uuid4().hex}"
-        id_index.write_indexed(df, "transaction_id", path)
-        sides.append(id_index.lookup(spark.read.parquet(path), "transaction_id", "txn-000000000040"))
+        id_index.write_indexed(df, "transaction_id", path, buckets=16)
+        sides.append(id_index.lookup(spark.read.parquet(path), "transaction_id", "txn-000000000040", buckets=16))
     return views.transaction_audit(*sides)
 
 
@@ -305,3 +305,58 @@ def latest_order(spark, folder):
     return latest.select("o_custkey", "o_orderkey", day.alias("order_day"), "o_totalprice")
 
 
+
+
+def recent_cte(hours: int) -> str:
+    """Latest decisions of the hours before the newest one, and these with their transactions."""
+    return f"""
+rec AS (SELECT * FROM dec WHERE decided_ms > (SELECT max(decided_ms) FROM dec) - {hours} * 3600000
+  QUALIFY row_number() OVER (PARTITION BY transaction_id ORDER BY decided_ms DESC) = 1),
+jr AS (SELECT d.*, e.channel, e.merchant_id, e.geo_country, e.amount AS e_amount FROM rec d JOIN enr1 e USING (transaction_id))"""
+
+
+def _breakdown_sql(column: str, hours: int, rate: bool) -> str:
+    share = f""", {num("count(*) FILTER (WHERE decision = 'BLOCK') / CAST(count(*) AS DOUBLE)")} AS fraud_rate""" if rate else ""
+    return with_ctes(*BASE, recent_cte(hours)) + f"""SELECT {column}, count(*) AS transactions, count(*) FILTER (WHERE decision = 'BLOCK') AS fraud_count,
+  {num("coalesce(sum(e_amount) FILTER (WHERE decision = 'BLOCK'), 0)")} AS fraud_amount{share} FROM jr GROUP BY ALL"""
+
+
+@register("channel_fraud_last_hour", _breakdown_sql("channel", 1, True))
+def channel_fraud_last_hour(spark, folder):
+    return reports.rolling(reports.channel_fraud, *both(spark, folder), hours=1)
+
+
+@register("merchant_fraud_last_day", _breakdown_sql("merchant_id", 24, False))
+def merchant_fraud_last_day(spark, folder):
+    """Every merchant, of which there are ten here."""
+    return reports.rolling(reports.merchant_fraud, *both(spark, folder), hours=24, top_n=1000)
+
+
+@register("geo_fraud_last_week", _breakdown_sql("geo_country", 7 * 24, True))
+def geo_fraud_last_week(spark, folder):
+    return reports.rolling(reports.geo_fraud, *both(spark, folder), hours=7 * 24)
+
+
+@register(
+    "rule_leaderboard_last_week",
+    with_ctes(*BASE, recent_cte(7 * 24), CATALOGUE_SQL, """
+agg AS (SELECT r AS rule_name, count(*) AS n, count(*) FILTER (WHERE decision = 'ALLOW') AS allowed, avg(fraud_score) AS a,
+  quantile_disc(fraud_score, 0.5) AS m, quantile_disc(fraud_score, 0.95) AS p FROM rec, unnest(rule_triggers) AS u(r) GROUP BY r)""")
+    + f"""SELECT rule_name, coalesce(family, 'unknown') AS family, coalesce(n, 0) AS total_triggers,
+  {num('coalesce(100.0::DOUBLE * n / (SELECT count(*) FROM rec), 0)')} AS trigger_rate_pct,
+  {num('coalesce(allowed / CAST(n AS DOUBLE), 0)')} AS fp_rate, {num('a')} AS avg_score, {num('m')} AS median_score, {num('p')} AS p95_score
+  FROM agg FULL JOIN cat USING (rule_name)""",
+)
+def rule_leaderboard_last_week(spark, folder):
+    return reports.rule_leaderboard(reports.rolling_decisions(given.decision_table(spark, folder), 7 * 24), SCALED_RULES)
+
+
+@register(
+    "score_histogram",
+    with_ctes(*BASE, """
+b AS (SELECT model_version, CAST(greatest(0, least(19, floor(fraud_score * 20))) AS INTEGER) AS bin FROM dec1)""")
+    + f"""SELECT model_version, bin, {num('bin / 20.0')} AS low, {num('(bin + 1) / 20.0')} AS high, count(*) AS decisions,
+  {num('count(*) / CAST(sum(count(*)) OVER (PARTITION BY model_version) AS DOUBLE)')} AS share FROM b GROUP BY model_version, bin""",
+)
+def score_histogram(spark, folder):
+    return reports.score_histogram(given.decision_table(spark, folder), bins=20)
