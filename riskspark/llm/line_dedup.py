@@ -47,12 +47,13 @@ def chunk_starts(hashes: Column, mean_lines: int) -> Column:
 def profiles(rows: DataFrame, mean_lines: int) -> DataFrame:
     """doc_id, text_key, hashes of the lines, spots (numbers of the lines with a word) and chunks with two or more of them."""
     lines = rows.filter("text IS NOT NULL").select("doc_id", "text_key", F.split("text", "\n", -1).alias("lines"))
-    numbers = F.transform("lines", lambda _, at: at)
-    lines = lines.select("doc_id", "text_key", line_hashes(F.col("lines")).alias("hashes"), F.filter(numbers, lambda at: F.trim(F.get("lines", at)) != "").alias("spots"))
-    starts = lines.withColumn("starts", chunk_starts(F.col("hashes"), mean_lines))
+    worded = F.transform("lines", lambda line: (F.trim(line) != "").cast("int"))
+    lines = lines.select("doc_id", "text_key", line_hashes(F.col("lines")).alias("hashes"), worded.alias("worded"))
+    numbers = F.transform("worded", lambda has, at: F.when(has == 1, at))
+    starts = lines.withColumn("starts", chunk_starts(F.col("hashes"), mean_lines)).withColumn("spots", F.array_compact(numbers))
     each = F.transform("starts", lambda start, at: F.struct(start.alias("start"), F.coalesce(F.get("starts", at + 1), F.size("hashes")).alias("stop")))
-    each = F.filter(each, lambda c: F.size(F.filter("spots", lambda at: (at >= c["start"]) & (at < c["stop"]))) > 1)
-    return starts.select("doc_id", "text_key", "hashes", "spots", each.alias("chunks")).filter(F.size("spots") > 1)
+    words = lambda c: F.aggregate(F.slice("worded", c["start"] + 1, c["stop"] - c["start"]), F.lit(0), lambda a, b: a + b)
+    return starts.select("doc_id", "text_key", "hashes", "spots", F.filter(each, lambda c: words(c) > 1).alias("chunks")).filter(F.size("spots") > 1)
 
 
 def hashed(found: DataFrame, kind: int) -> DataFrame:
@@ -90,14 +91,13 @@ def dedup_lines(docs: DataFrame, mean_lines: int = 4) -> DataFrame:
     known = stored(profiles(keyed, mean_lines).dropDuplicates(place))
     long = stored(repeats(hashed(known.withColumn("spans", F.col("chunks")), 0)))
 
-    copied = long.filter("NOT is_first AND is_apart").groupBy(*place).agg(F.collect_list(F.struct("start", "stop")).alias("copied"))
-    copied = copied.select(F.col("doc_id").alias("of_id"), F.col("text_key").alias("of_key"), "copied")
-    left = known.join(copied, (F.col("text_key") == F.col("of_key")) & F.col("doc_id").eqNullSafe(F.col("of_id")), "left")
     numbers = F.sequence(F.lit(0), F.size("spots") - 2)
     pairs = F.transform(numbers, lambda at: F.struct(F.get("spots", at).alias("start"), (F.get("spots", at + 1) + 1).alias("stop")))
-    inside = lambda pair: F.exists("copied", lambda c: (c["start"] <= pair["start"]) & (pair["stop"] <= c["stop"]))
-    left = left.withColumn("spans", F.filter(pairs, lambda pair: ~F.coalesce(inside(pair), F.lit(False))))
-    short = repeats(hashed(left, 1))
+    copied = long.filter("NOT is_first AND is_apart").select(
+        F.col("doc_id").alias("of_id"), F.col("text_key").alias("of_key"), F.col("stop").alias("end"), F.explode(F.sequence("start", F.col("stop") - 2)).alias("at")
+    )
+    inside = (F.col("text_key") == F.col("of_key")) & F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.col("start") == F.col("at")) & (F.col("stop") <= F.col("end"))
+    short = repeats(stored(hashed(known.withColumn("spans", pairs), 1).join(copied, inside, "left_anti")))
     listed = long.unionByName(short).groupBy(*place).agg(F.collect_set(F.struct("start", "stop", "hash", "is_first", "is_apart")).alias("chunks"))
     listed = listed.select(F.col("doc_id").alias("of_id"), F.col("text_key").alias("of_key"), "chunks")
 
