@@ -69,11 +69,11 @@ def with_velocity(events: DataFrame, history: DataFrame | None = None) -> DataFr
     added = "lateness string, watermark_ms bigint"
     for _, label in WINDOWS:
         added += f", vel_count_{label} bigint, vel_units_{label} bigint"
-    seeds = None if history is None else _minutes(history, "account_id")
+    seeds = None if history is None else minute_buckets(history, "account_id")
     return _stage(events, "account_id", stateful.Velocity(), nullable(added), seeds)
 
 
-def _minutes(history: DataFrame, key: str) -> DataFrame:
+def minute_buckets(history: DataFrame, key: str) -> DataFrame:
     """Minute buckets of the keys of stored rows; keys that are null have none."""
     units = F.coalesce(F.sum((F.col("amount") * stateful.MONEY_UNITS).cast("bigint")), F.lit(0)).alias("units")
     kept = history.where(F.col(key).isNotNull())
@@ -94,7 +94,7 @@ def _profiles(history: DataFrame) -> DataFrame:
         F.struct("event_ms", "transaction_id"),
     )
     profile = rows.groupBy("device_key").agg(latest.alias("p")).select("device_key", "p.*")
-    joined = _minutes(rows, "device_key").join(profile, "device_key")
+    joined = minute_buckets(rows, "device_key").join(profile, "device_key")
     return joined.where(F.col("minute") >= minute_of(F.col("last_ms")) - F.lit(RECENT_MINUTES + 1))
 
 

@@ -15,7 +15,7 @@ from riskspark.schemas import RAW_EVENT
 from riskspark.sources import driver_tables as given
 from riskspark.sources.lake import read_decisions, read_enriched
 from riskspark.sources.streams import file_stream
-from riskspark.streaming import enrich, job, live, sinks
+from riskspark.streaming import enrich, job, live, sinks, state_audit
 
 COLUMNS = [c for c in RAW_EVENT.names if c != "schema_version"]
 COMPARED = ["vel_count_1m", "vel_count_5m", "vel_count_1h", "vel_count_24h", "vel_amount_1h", "vel_amount_24h", "geo_country",
@@ -60,6 +60,16 @@ def test_stream_equals_batch_with_restart_late_rows_and_copies(spark, small, ran
     run(spark, source, ranges, root)
     assert read_enriched(spark, f"{root}/enriched").count() == 700
 
+    state = state_audit.velocity_state(spark, f"{root}/checkpoint")
+    buckets = state_audit.differing_buckets(state, read_enriched(spark, f"{root}/enriched")).cache()
+    assert buckets.count() > 5 and buckets.where("NOT same").count() == 0
+    assert state_audit.report(buckets).first().within_limit
+    newest = buckets.orderBy(F.col("minute").desc(), "account_id").first()
+    wrong = F.when((F.col("minute") == newest.minute) & (F.col("account_id") == newest.account_id), F.col("n") + 1).otherwise(F.col("n"))
+    planted = state_audit.differing_buckets(state.withColumn("n", wrong), read_enriched(spark, f"{root}/enriched"))
+    assert [(r.account_id, r.minute, r.state_n - r.table_n) for r in planted.where("NOT same").collect()] == [(newest.account_id, newest.minute, 1)]
+    assert state_audit.report(planted).first().differing == 1
+
     # A restart goes on from the checkpoint. The new files hold rows beyond the
     # allowed lateness: two minutes, eleven minutes and three days behind the newest event.
     newest = tx.where("event_id < 700").agg(F.max("event_ms")).first()[0]
