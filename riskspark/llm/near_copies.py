@@ -1,10 +1,16 @@
 """Near copies: texts whose sets of word shingles have a Jaccard similarity of `share` or more, and all linked through such pairs.
 
-Candidates come from MinHash: a text has the least value of its shingles under BANDS x ROWS hash functions, and two texts
-that agree in all functions of a band meet in a bucket. Every pair that meets is compared by its shingles (64-bit hashes)
-before it counts, so nothing less similar is linked. A pair at exactly 0.8 meets in no bucket with chance
-(1 - 0.8^6)^48 = 5e-7, one at 0.85 with 4e-11. SimHash is no source of candidates here: 0.8 is up to about 14 of 64
-bits, for which the blocks of the trie join shrink to 4 bits and nearly all pairs would be compared.
+Candidates come from SimHash fingerprints of LANES x 64 bits and their binary trie joined with itself. Texts whose distinct shingles
+have Jaccard 0.8 differ in about 15 % of the bits, unrelated ones in half of them. The trie is walked in pairs of nodes; differing bits
+add up, and a pair of nodes above the budget of its depth is dropped with all below it. Nodes of up to LEAF members are walked by
+whole lanes, all their pairs at once. The budget of a depth is the least number of bits that a pair at 0.8 exceeds with chance
+MISS at most; BORDER is the greatest share of bits that such a pair is expected to differ in (sets of 4 and 5 shingles; long
+texts: 0.152). 64 bits would not do: 0.8 is up to about 14 of them on the given texts, and a budget that misses none lets over 5 % of
+all pairs pass.
+The trie is dealt out by sizes, since sizes of similar sets differ by a quarter at most, and a size by parts of PART members. Pairs
+left out by sizes cost nothing, every other pair of distinct fingerprints a few nanoseconds in a task and no row. A task reports one
+link per fingerprint and component it sees; the components are the buckets of candidates. Every pair is compared by its
+shingles (64-bit hashes) before it counts, so nothing less similar is linked.
 
 Buckets are compared in two passes, so no pass makes all pairs of a bucket.
 
@@ -25,6 +31,7 @@ Words are cut at ASCII white space, A-Z lower-cased. Repeated rows share a root.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,16 +40,32 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from riskspark.llm.simhash import components, first_of_each
-from riskspark.llm.words import ragged, utf8
+from riskspark.llm.simhash import components, first_of_each, merge, root
+from riskspark.llm.words import BASE, mixed, ragged, utf8
 from riskspark.session import stored
 
 SEED = 42
-BANDS, ROWS = 48, 6
-_RANDOM = np.random.default_rng(SEED)
-TIMES = _RANDOM.integers(0, 1 << 31, (BANDS * ROWS, 1), np.uint32) * np.uint32(2) + np.uint32(1)
-FLIPS = _RANDOM.integers(0, 1 << 32, (BANDS * ROWS, 1), np.uint32)
-PART = 1024
+LANES = 4
+LEAF = 512
+PART = 65_536
+BORDER, MISS = 0.1875, 1e-6
+#: Sizes of one step differ by less than a quarter; the excess keeps rounding from parting neighbours by two steps.
+STEP = math.log(1.25) + 1e-9
+
+
+def budget(depth: int) -> int:
+    """The least number of differing bits that a pair at the border exceeds with chance MISS at most, of `depth` bits."""
+    chance, within = 1.0, -1
+    while chance > MISS:
+        within += 1
+        chance -= math.comb(depth, within) * BORDER**within * (1 - BORDER) ** (depth - within)
+    return within
+
+
+BUDGETS = [budget(depth) for depth in range(64 * LANES + 1)]
+#: Odd multipliers, one per lane.
+FACTORS = np.array([pow(BASE, lane, 1 << 64) for lane in range(LANES)], np.uint64)
+WORDS = [f"w{lane}" for lane in range(LANES)]
 
 
 def shingles(text: bytes, width: int) -> np.ndarray:
@@ -59,29 +82,114 @@ def shingles(text: bytes, width: int) -> np.ndarray:
     return np.unique(np.array([digest(joined[s:e], SEED) for s, e in zip(starts.tolist(), ends[width - 1 :].tolist(), strict=True)], np.uint64))
 
 
-def bands(values: np.ndarray) -> np.ndarray:
-    """One key per band; the keys of different bands differ."""
-    least = np.full(BANDS * ROWS, 0xFFFFFFFF, np.uint32)
-    short = (values >> np.uint64(32)).astype(np.uint32)
-    for at in range(0, len(short), PART):
-        mixed = short[at : at + PART] * TIMES
-        mixed ^= FLIPS
-        np.minimum(least, mixed.min(axis=1), out=least)
-    rows = least.reshape(BANDS, ROWS)
-    return np.array([xxhash.xxh64_intdigest(row.tobytes(), band) for band, row in enumerate(rows)], np.uint64)
+def fingerprint(values: np.ndarray) -> np.ndarray:
+    """SimHash of a set of 64-bit values, one number per lane: the bits set in over half of the values, mixed anew for each lane."""
+    counts = np.zeros(64 * LANES, np.int64)
+    for at in range(0, len(values), 255):  # counts of a byte
+        lanes = mixed(values[at : at + 255, None] * FACTORS)
+        counts += np.unpackbits(lanes.view(np.uint8), axis=1, bitorder="little").sum(axis=0, dtype=np.uint8)
+    return np.packbits(counts * 2 > len(values), bitorder="little").view(np.int64)
 
 
 def sketches(docs: DataFrame, width: int) -> DataFrame:
-    """doc_id, text_key, size (number of shingles) and bands of every row."""
+    """doc_id, text_key, size (number of shingles) and the lanes of the fingerprint of every row."""
 
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [shingles(text, width) for text in utf8(batch.column("text"))]
-            keys = ragged([bands(own).view(np.int64) for own in sets], np.int64)
-            sizes = pa.array([len(own) for own in sets], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_key"), sizes, keys], names=["doc_id", "text_key", "size", "bands"])
+            sizes, prints = [], np.zeros((batch.num_rows, LANES), np.int64)
+            for place, text in enumerate(utf8(batch.column("text"))):
+                own = shingles(text, width)
+                sizes.append(len(own))
+                prints[place] = fingerprint(own)
+            lanes = [pa.array(np.ascontiguousarray(prints[:, lane])) for lane in range(LANES)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), batch.column("text_key"), pa.array(sizes, pa.int64()), *lanes], names=["doc_id", "text_key", "size", *WORDS]
+            )
 
-    return with_keys(docs).mapInArrow(of, "doc_id bigint, text_key bigint, size bigint, bands array<bigint>")
+    return with_keys(docs).mapInArrow(of, f"doc_id bigint, text_key bigint, size bigint, {', '.join(f'{w} bigint' for w in WORDS)}")
+
+
+def dealt(nodes: DataFrame) -> DataFrame:
+    """`nodes` (node, size, lanes) dealt to cells (step, above, i, j), and whether they are on the right side of their cell.
+
+    A cell holds part i and part j of one step of sizes, or part i of a step and part j of the step above it. Every two nodes whose
+    sizes can be those of similar sets meet in one cell, no cell has more than about twice PART nodes.
+    """
+    placed = nodes.withColumn("step", F.coalesce(F.floor(F.log(F.nullif("size", F.lit(0))) / F.lit(STEP)), F.lit(-1)).cast("int"))
+    parts = placed.groupBy("step").agg(F.ceil(F.count("*") / F.lit(PART)).cast("int").alias("parts"))
+    for shift, name in ((0, "parts"), (-1, "higher"), (1, "lower")):
+        placed = placed.join(F.broadcast(parts.select((F.col("step") + shift).alias("step"), F.col("parts").alias(name))), "step", "left")
+    placed = placed.withColumn("part", F.pmod(F.hash("node"), "parts"))
+
+    def cells(count: str, of) -> Column:
+        return F.transform(F.when(F.col(count) > 0, F.sequence(F.lit(0), F.col(count) - 1)).otherwise(F.array().cast("array<int>")), of)
+
+    def cell(step: Column, above: bool, i: Column, j: Column, right: Column) -> Column:
+        return F.struct(step.alias("step"), F.lit(above).alias("above"), i.alias("i"), j.alias("j"), right.alias("right"))
+
+    step, part = F.col("step"), F.col("part")
+    within = cells("parts", lambda q: cell(step, False, F.least(part, q), F.greatest(part, q), part > q))
+    below = cells("higher", lambda q: cell(step, True, part, q, F.lit(False)))
+    beyond = cells("lower", lambda q: cell(step - 1, True, q, part, F.lit(True)))
+    return placed.select(F.explode(F.concat(within, below, beyond)).alias("cell"), "node", *WORDS).select("cell.*", "node", *WORDS)
+
+
+def compare(parent: np.ndarray, lanes: list[np.ndarray], a: int, a_end: int, b: int, b_end: int) -> None:
+    """Walks two small nodes by whole lanes and joins the components of their members within the last budget."""
+    counts = [np.bitwise_count(lane[a:a_end, None] ^ lane[b:b_end]) for lane in lanes[:2]]
+    one, two = np.nonzero(counts[0] + counts[1] <= BUDGETS[128])
+    apart = root(parent, np.arange(a, a_end))[one] != root(parent, np.arange(b, b_end))[two]
+    one, two = one[apart] + a, two[apart] + b
+    total = sum(np.bitwise_count(lane[one] ^ lane[two]).astype(np.int64) for lane in lanes)
+    near = total <= BUDGETS[-1]
+    merge(parent, one[near], two[near])
+
+
+def trie_links(lanes: list[np.ndarray], cut: int) -> tuple[np.ndarray, np.ndarray]:
+    """(member, least member) of components by place. Each of lanes[0][:cut] and lanes[0][cut:] is sorted; the two are joined, or the
+    first with itself if there is no second. A node of the trie is a range of places."""
+    size = len(lanes[0])
+    parent = np.arange(size)
+    ones: dict[int, np.ndarray] = {}
+
+    def halved(depth: int, start: int, end: int) -> int:
+        if depth not in ones:
+            ones[depth] = np.append(0, np.cumsum((lanes[0] >> np.uint64(63 - depth)) & np.uint64(1), dtype=np.int64))
+        return end - int(ones[depth][end] - ones[depth][start])
+
+    stack = [(0, 0, cut, cut, size, 0) if cut < size else (0, 0, size, 0, size, 0)]
+    while stack:
+        depth, a, a_end, b, b_end, spent = stack.pop()
+        if a == a_end or b == b_end or spent > BUDGETS[depth]:
+            continue
+        if depth == 64 or max(a_end - a, b_end - b) <= LEAF:
+            for x in range(a, a_end, LEAF):
+                for y in range(b, b_end, LEAF):
+                    compare(parent, lanes, x, min(x + LEAF, a_end), y, min(y + LEAF, b_end))
+            continue
+        a_cut, b_cut = halved(depth, a, a_end), halved(depth, b, b_end)
+        stack += [(depth + 1, a, a_cut, b, b_cut, spent), (depth + 1, a_cut, a_end, b_cut, b_end, spent), (depth + 1, a, a_cut, b_cut, b_end, spent + 1)]
+        if a != b:
+            stack.append((depth + 1, a_cut, a_end, b, b_cut, spent + 1))
+    roots = root(parent, np.arange(size))
+    linked = np.flatnonzero(roots != np.arange(size))
+    return linked, roots[linked]
+
+
+def links(nodes: DataFrame) -> DataFrame:
+    """Links (a, b), a > b, that connect all nodes (node, size, lanes) within the budgets of the trie whose sizes are near enough."""
+
+    def join(table: pa.Table) -> pa.Table:
+        right = table.column("right").to_numpy()
+        lanes = [table.column(word).to_numpy().view(np.uint64) for word in WORDS]
+        order = np.lexsort((lanes[0], right))
+        cut = len(right) - int(right.sum())
+        names = table.column("node").to_numpy()[order]
+        two_sides = table.column("above")[0].as_py() or table.column("i")[0].as_py() != table.column("j")[0].as_py()
+        member, least = trie_links([lane[order] for lane in lanes], cut) if not two_sides or 0 < cut < len(right) else (order[:0], order[:0])
+        return pa.table({"a": np.maximum(names[member], names[least]), "b": np.minimum(names[member], names[least])})
+
+    return dealt(nodes).groupBy("step", "above", "i", "j").applyInArrow(join, "a bigint, b bigint").distinct()
 
 
 def with_keys(docs: DataFrame) -> DataFrame:
@@ -141,7 +249,9 @@ def beside_stars(stars: DataFrame, roots: DataFrame, share: float) -> DataFrame:
 
     def posts(rows: DataFrame, name: str) -> DataFrame:
         left = side(rows, name, F.size("rest").alias("all"), F.posexplode("rest").alias("place", "token"))
-        return left.withColumn(f"{name}_left", F.col("all") - F.col("place")).drop("all", "place")
+        left = left.withColumn(f"{name}_left", F.col("all") - F.col("place")).drop("all", "place")
+        # What is left no longer reaches the overlap with the smallest partner: `fits` and `reach` would fail.
+        return left.filter(F.col(f"{name}_n") + F.col(f"{name}_left") >= F.lit(share) * F.col(f"{name}_size") - F.lit(1e-9))
 
     inside = F.least("x_n", "y_n")
     fits = (F.col("x_root") != F.col("y_root")) & (F.least("x_size", "y_size") >= F.lit(share) * F.greatest("x_size", "y_size") - F.lit(1e-9))
@@ -165,9 +275,12 @@ def similar(pairs: DataFrame, texts: DataFrame, share: float) -> DataFrame:
 def near_copies(docs: DataFrame, width: int = 5, share: float = 0.8) -> DataFrame:
     """doc_id, text_key and root (a number that linked rows share) of every row."""
     rows = stored(sketches(docs, width))
-    nodes = rows.dropDuplicates(["text_key"]).select("text_key", F.explode("bands").alias("bucket"))
-    shared = nodes.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket")
-    members = stored(nodes.join(shared, "bucket", "left_semi"))
+    own = rows.dropDuplicates(["text_key"]).withColumn("node", F.xxhash64("size", *WORDS))
+    nodes = stored(own.dropDuplicates(["node"]).select("node", "size", *WORDS))
+    near = components(links(nodes)).withColumnRenamed("root", "bucket")
+    placed = stored(own.select("text_key", "node").join(near, "node", "left").select("text_key", F.coalesce("bucket", "node").alias("bucket")))
+    shared = placed.groupBy("bucket").agg(F.count("*").alias("n")).filter("n > 1").select("bucket")
+    members = stored(placed.join(shared, "bucket", "left_semi"))
     sets = stored(shingle_sets(docs, members.select("text_key").distinct(), width))
     texts = stored(common_shingles(sets).filter(F.size("tokens") >= F.lit(share) * F.col("size") - F.lit(1e-9)))
 

@@ -170,7 +170,11 @@ def unite(parent: np.ndarray, prints: np.ndarray, pairs: np.ndarray, budget: int
     at = np.arange(len(pair)) - np.repeat(np.cumsum(total) - total, total)
     left, right = a[pair] + at // wide[pair], b[pair] + at % wide[pair]
     near = (left != right) & (np.bitwise_count(prints[left] ^ prints[right]) <= budget)
-    left, right = left[near], right[near]
+    merge(parent, left[near], right[near])
+
+
+def merge(parent: np.ndarray, left: np.ndarray, right: np.ndarray) -> None:
+    """Joins the components of the places left[i] and right[i]."""
     while len(left):
         left, right = root(parent, left), root(parent, right)
         apart = left != right

@@ -111,3 +111,62 @@ def test_very_long_texts_and_clashing_columns(spark):
     kept = near_copies.one_per_group(docs)
     assert kept.columns == docs.columns
     assert sorted((r["doc_id"], r["root"], r["size"]) for r in kept.collect()) == [(1, "r", 1), (3, "r", 1), (4, "r", 1)]
+
+
+def printed(rng, count, share):
+    """Fingerprints of `count` pairs that differ in about `share` of the bits, as an array of lanes by row; pairs are neighbours."""
+    bits = rng.integers(0, 2, (count, 64 * near_copies.LANES))
+    rows = np.stack([bits, bits ^ (rng.random(bits.shape) < share)], axis=1).reshape(2 * count, -1)
+    return np.packbits(rows.astype(np.uint8), axis=1, bitorder="little").view(np.uint64)
+
+
+def test_the_stage_gets_its_candidates_from_the_trie_of_simhash_fingerprints(spark, small, monkeypatch):
+    words = [f"w{n}" for n in range(200)]
+    rows = [(1, " ".join(words)), (2, " ".join(words[:190])), (3, "another text")]
+    docs = spark.createDataFrame([(i, t, "en", 1) for i, t in rows], SCHEMA)
+    assert sorted(r["doc_id"] for r in corpus_pipeline.drop_near_duplicates(spark, docs, small).collect()) == [1, 3]
+    monkeypatch.setattr(near_copies, "links", lambda nodes: nodes.selectExpr("node AS a", "node AS b").limit(0))
+    assert sorted(r["doc_id"] for r in corpus_pipeline.drop_near_duplicates(spark, docs, small).collect()) == [1, 2, 3]
+
+
+def test_trie_join_links_what_comparing_all_fingerprints_links(monkeypatch):
+    monkeypatch.setattr(near_copies, "LEAF", 8)
+    rng = np.random.default_rng(7)
+    prints = printed(rng, 400, 0.15)
+    pairs = {(2 * i, 2 * i + 1) for i in range(400)}
+    for cut in (800, 500):
+        side = rng.permutation(800)
+        order = np.concatenate([part[np.argsort(prints[part, 0])] for part in (side[:cut], side[cut:])])
+        member, least = near_copies.trie_links([np.ascontiguousarray(prints[order, lane]) for lane in range(near_copies.LANES)], cut)
+        found = {tuple(sorted((int(order[a]), int(order[b])))) for a, b in zip(member, least, strict=True)}
+        left = set(order[:cut].tolist())
+        assert found == {p for p in pairs if cut == 800 or len(left & set(p)) == 1}
+
+
+def test_every_two_sizes_near_enough_meet_in_one_cell(spark, monkeypatch):
+    monkeypatch.setattr(near_copies, "PART", 3)
+    sizes = [0, 0, 1, 4, 5, 6, *range(8, 40), 100, 125, 126, 80, 64, 1000] * 2
+    nodes = spark.createDataFrame([(i, size, *[i] * near_copies.LANES) for i, size in enumerate(sizes)], ", ".join(f"{c} bigint" for c in ("node", "size", *near_copies.WORDS)))
+    cells = {}
+    for r in near_copies.dealt(nodes).collect():
+        cells.setdefault((r["step"], r["above"], r["i"], r["j"]), []).append((r["node"], r["right"]))
+    met = {}
+    for (_, above, i, j), members in cells.items():
+        for (a, one), (b, two) in combinations(members, 2):
+            if one != two or not above and i == j:
+                met[frozenset((a, b))] = met.get(frozenset((a, b)), 0) + 1
+    assert set(met.values()) == {1} and any(i != j for _, _, i, j in cells)
+    for a, b in combinations(range(len(sizes)), 2):
+        low, high = sorted((sizes[a], sizes[b]))
+        assert low < 0.8 * high or frozenset((a, b)) in met
+
+
+def test_similar_sets_are_within_the_budget_of_every_depth():
+    rng = np.random.default_rng(8)
+    for size in (5, 9, 12, 40, 200, 2000):
+        for _ in range(60):
+            both = rng.integers(0, 1 << 63, size, np.uint64)
+            more = np.append(both, rng.integers(0, 1 << 63, size // 4, np.uint64))
+            one, two = (near_copies.fingerprint(np.unique(s)).view(np.uint64) for s in (both, more))
+            ones = np.bitwise_count(one ^ two).astype(int)
+            assert ones[:2].sum() <= near_copies.BUDGETS[128] and ones.sum() <= near_copies.BUDGETS[256]
